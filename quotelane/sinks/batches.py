@@ -1,0 +1,42 @@
+"""Parquet writes of micro-batches that may be repeated.
+
+A stream repeats its last micro-batch after a failure. Both writers here replace
+what an earlier attempt of the same batch left, so repeating adds no rows.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Snapshots kept, so that a reader can finish while newer ones are written.
+SNAPSHOTS = 3
+
+
+def write_snapshot(df: DataFrame, path: str, batch_id: int, keep: int = SNAPSHOTS) -> None:
+    """Store a full result. It takes the place of the one written ``keep`` batches ago."""
+    numbered = df.withColumn("snapshot", F.lit(batch_id).cast("long"))
+    _replace_partition(numbered.withColumn("slot", F.lit(batch_id % keep)), path, "slot")
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, outer: str | None = None) -> None:
+    """Store the rows that a batch adds, below folders of column ``outer`` if given."""
+    folders = [outer, "batch_id"] if outer else ["batch_id"]
+    _replace_partition(df.withColumn("batch_id", F.lit(batch_id).cast("long")), path, *folders)
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot, or all added rows, or a plain table."""
+    stored = spark.read.parquet(path)
+    if "slot" in stored.columns:
+        newest = stored.agg(F.max("snapshot")).first()[0]
+        slots = stored.where(F.col("snapshot") == newest)
+        return slots.drop("slot", "snapshot")
+    return stored.drop("batch_id")
+
+
+def _replace_partition(df: DataFrame, path: str, *folders: str) -> None:
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*folders)
+        .parquet(path)
+    )
