@@ -36,6 +36,9 @@ T_SLIDING = (STAR, "30 days", "10 days", 3)
 
 BOUNDS = "window_start, window_end"
 
+# Prices are money: the average of exact cents, not of binary fractions.
+MEAN = "avg(CAST(price_usd AS DECIMAL(18,2)))"
+
 
 def windowed(source) -> str:
     """CTE ``w``: the quotes, once per window that holds them."""
@@ -54,7 +57,7 @@ def stats(source, where: str = "") -> str:
         cte, table, keys = windowed(source), "w", f"origin, destination, {BOUNDS}"
     return f"""WITH {cte}
 SELECT {keys}, min(price_usd) AS min_price, max(price_usd) AS max_price,
-       round(avg(price_usd), 6) AS avg_price, count(*) AS flight_count
+       round({MEAN}, 6) AS avg_price, count(*) AS flight_count
 FROM {table} {where} GROUP BY {keys}"""
 
 
@@ -71,7 +74,7 @@ def averages(source) -> tuple[str, str]:
     keys = f"{group}, airline, airline_name"
     return (
         f"""WITH {cte}, a AS (
-  SELECT {keys}, avg(price_usd) AS ap, count(*) AS flight_count FROM {table} GROUP BY {keys})""",
+  SELECT {keys}, {MEAN} AS ap, count(*) AS flight_count FROM {table} GROUP BY {keys})""",
         group,
     )
 
@@ -104,7 +107,7 @@ def best_ranked(source, where: str = "") -> str:
 
 def daily(source: str) -> str:
     return f"""WITH {source}
-SELECT origin, destination, CAST("timestamp" AS DATE) AS date, round(avg(price_usd), 6) AS avg_price
+SELECT origin, destination, CAST("timestamp" AS DATE) AS date, round({MEAN}, 6) AS avg_price
 FROM q GROUP BY ALL"""
 
 
@@ -131,9 +134,9 @@ FROM s, b"""
 
 
 def compared_stats(source, query_type: str, as_of: str, within: str) -> str:
-    unwindowed = f"WITH {source[0]} SELECT avg(price_usd) AS p FROM q GROUP BY origin, destination"
+    unwindowed = f"WITH {source[0]} SELECT {MEAN} AS p FROM q GROUP BY origin, destination"
     windows = f"""WITH {windowed(source)}
-  SELECT {BOUNDS}, avg(price_usd) AS p FROM w GROUP BY origin, destination, {BOUNDS}"""
+  SELECT {BOUNDS}, {MEAN} AS p FROM w GROUP BY origin, destination, {BOUNDS}"""
     return compared(unwindowed, windows, query_type, as_of, within)
 
 
@@ -182,13 +185,6 @@ ORACLE: dict[str, str] = {
     "best_airline_sliding": best(E_SLIDING),
     "best_airline_semi": best(EVENTS),
     "best_airline_semi_windowed": best(E_TUMBLING),
-    "best_airline_exact": f"""WITH {windowed(E_TUMBLING)}, a AS (
-  SELECT origin, destination, {BOUNDS}, airline, airline_name,
-         round(CAST(sum(CAST(price_usd AS DECIMAL(10,2))) AS DOUBLE) / count(price_usd), 6) AS avg_price,
-         count(*) AS flight_count
-  FROM w GROUP BY origin, destination, {BOUNDS}, airline, airline_name)
-SELECT *, rank() OVER (PARTITION BY origin, destination, {BOUNDS} ORDER BY avg_price) AS price_rank
-FROM a QUALIFY price_rank = 1""",
     "price_trend_windowed": trend(E_TUMBLING),
     "price_trend_sliding": trend(E_SLIDING),
     "price_trend_daily": daily(EVENTS),

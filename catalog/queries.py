@@ -16,7 +16,7 @@ from quotelane.session import scratch_path
 from quotelane.sinks.columns import conform
 from quotelane.sinks.publish import publish_files
 from quotelane.sinks.stores import ParquetStore
-from quotelane.sources.tables import normalize_quotes, register_view
+from quotelane.sources.tables import register_view
 from quotelane.streaming import runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +37,7 @@ ROUNDED = (
 
 
 def presented(df: DataFrame) -> DataFrame:
-    """Round computed means, as their last digits depend on the order of summing, and
-    drop the zone of stamps."""
+    """Round computed means and drop the zone of stamps."""
     columns = []
     for name, kind in df.dtypes:
         value = F.col(name)
@@ -66,12 +65,6 @@ def stored_best(quotes: DataFrame) -> DataFrame:
     return cheapest(ql.airline_averages(quotes, EVENT_WINDOW))
 
 
-def exact_best(quotes: DataFrame) -> DataFrame:
-    """The cheapest airlines by exact decimal averages."""
-    exact = ql.airline_averages(normalize_quotes(quotes, "decimal(10,2)"), EVENT_WINDOW)
-    return cheapest(exact)
-
-
 def best_by_sql(quotes: DataFrame) -> DataFrame:
     """A user's own SQL over the registered view."""
     view = register_view(quotes, "flight_prices")
@@ -125,7 +118,7 @@ def damaged_events(quotes: DataFrame) -> DataFrame:
     value = (
         F.when(F.col("key") == "C0", F.lit("not json"))
         .when(F.col("key") == "C1", F.lit(None))
-        .when(F.col("key") == "C2", F.regexp_replace("value", '"price_usd":', '"price_usd":"?",'))
+        .when(F.col("key") == "C2", F.regexp_replace("value", '"price_usd":', '"price_usd":"?","was":'))
         .when(F.col("key") == "C3", F.regexp_replace("value", '"timestamp":"', '"timestamp":"?'))
         .when(F.col("key") == "C4", F.regexp_replace("value", '"origin"', '"elsewhere"'))
         .otherwise(F.col("value"))
@@ -233,7 +226,6 @@ QUERIES: dict[str, Query] = {
     "best_airline_sliding": on_events(lambda q: ql.best_airline(q, EVENT_WINDOW, EVENT_SLIDE)),
     "best_airline_semi": on_events(ql.best_airline_semi),
     "best_airline_semi_windowed": on_events(lambda q: ql.best_airline_semi(q, EVENT_WINDOW)),
-    "best_airline_exact": on_events(exact_best),
     "price_trend_windowed": on_events(lambda q: ql.price_trend(q, EVENT_WINDOW)),
     "price_trend_sliding": on_events(lambda q: ql.price_trend(q, EVENT_WINDOW, EVENT_SLIDE)),
     "price_trend_daily": on_events(ql.price_trend_daily),

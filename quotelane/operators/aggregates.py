@@ -1,22 +1,30 @@
 """Grouped statistics.
 
 Everything here is built from *cells*: one row per group with a minimum, a maximum,
-a sum and two counts. Cells can be merged further, so a report over few groups can
-be computed from the cells of many groups without reading the quotes again.
+sums and two counts. Cells can be merged further, so a report over few groups can be
+computed from the cells of many groups without reading the quotes again.
 
 Spark aggregates before it shuffles, so a group that holds a large share of all
 quotes costs one row per task in the shuffle.
+
+Prices are summed as whole cents, plus a remainder that is 0 for prices in cents.
+Sums of doubles depend on the order in which tasks finish; sums of whole cents do
+not. So averages, and with them ranks and ties, are the same in every run, in a
+stream and in a batch. It costs no more than summing doubles, unlike decimals.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quotelane.functions.measures import ratio
 from quotelane.functions.windows import is_sliding, pane
 from quotelane.schema import CARRIER, ROUTE
 
 BOUNDS = ["window_start", "window_end"]
+MEASURES = ["min_price", "max_price", "sum_cents", "sum_rest", "priced_count", "flight_count"]
+
+# Prices from here on are summed as doubles, to keep the sum of cents from overflowing.
+CENTS_BELOW = 1e6
 
 
 def window_bounds(df: DataFrame) -> list[str]:
@@ -41,11 +49,14 @@ def fare_cells(
     groups: list = list(keys)
     if window:
         groups.append(F.window("timestamp", window, slide).alias("window"))
+    price = F.col("price_usd").cast("double")
+    cents = F.when(F.abs(price) < CENTS_BELOW, F.rint(price * 100)).otherwise(0.0).cast("bigint")
     cells = quotes.groupBy(*groups).agg(
-        F.min("price_usd").alias("min_price"),
-        F.max("price_usd").alias("max_price"),
-        F.sum("price_usd").alias("sum_price"),
-        F.count("price_usd").alias("priced_count"),
+        F.min(price).alias("min_price"),
+        F.max(price).alias("max_price"),
+        F.sum(cents).alias("sum_cents"),
+        F.sum(price - cents / 100.0).alias("sum_rest"),
+        F.count(price).alias("priced_count"),
         F.count("*").alias("flight_count"),
     )
     return _flatten(cells, keys)
@@ -63,40 +74,41 @@ def merge_cells(
         groups.append(F.window("window_start", window, slide).alias("window"))
     else:
         groups.extend(window_bounds(cells))
-    sum_type = cells.schema["sum_price"].dataType
     merged = cells.groupBy(*groups).agg(
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
-        F.sum("sum_price").cast(sum_type).alias("sum_price"),
+        F.sum("sum_cents").alias("sum_cents"),
+        F.sum("sum_rest").alias("sum_rest"),
         F.sum("priced_count").alias("priced_count"),
         F.sum("flight_count").alias("flight_count"),
     )
     return _flatten(merged, keys)
 
 
-def average_price(cells: DataFrame) -> Column:
-    """Mean of the known prices of a cell, typed as ``avg`` types it."""
-    mean = ratio(F.col("sum_price"), F.col("priced_count"))
-    sum_type = cells.schema["sum_price"].dataType
-    if isinstance(sum_type, T.DecimalType):
-        mean = mean.cast(T.DecimalType(sum_type.precision - 6, sum_type.scale + 4))
+def average_price() -> Column:
+    """Mean of the known prices of a cell, NULL if there are none.
+
+    The cents are divided once, so equal means are equal doubles.
+    """
+    priced = F.col("priced_count")
+    mean = ratio(F.col("sum_cents").cast("double"), 100.0 * priced) + ratio(F.col("sum_rest"), priced)
     return mean.alias("avg_price")
 
 
 def stats_from_cells(cells: DataFrame) -> DataFrame:
     return cells.select(
-        *ROUTE, *window_bounds(cells), "min_price", "max_price", average_price(cells), "flight_count"
+        *ROUTE, *window_bounds(cells), "min_price", "max_price", average_price(), "flight_count"
     )
 
 
 def averages_from_cells(cells: DataFrame) -> DataFrame:
     return cells.select(
-        *ROUTE, *window_bounds(cells), *CARRIER, average_price(cells), "flight_count"
+        *ROUTE, *window_bounds(cells), *CARRIER, average_price(), "flight_count"
     )
 
 
 def trend_from_cells(cells: DataFrame) -> DataFrame:
-    return cells.select(*ROUTE, *window_bounds(cells), average_price(cells))
+    return cells.select(*ROUTE, *window_bounds(cells), average_price())
 
 
 def route_stats(
@@ -122,13 +134,12 @@ def price_trend_daily(quotes: DataFrame) -> DataFrame:
     """Average price per route and calendar date, in order."""
     dated = quotes.withColumn("date", F.to_date("timestamp"))
     cells = fare_cells(dated, ROUTE + ["date"])
-    return cells.select(*ROUTE, "date", average_price(cells)).orderBy(*ROUTE, "date")
+    return cells.select(*ROUTE, "date", average_price()).orderBy(*ROUTE, "date")
 
 
 def _flatten(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Replace a ``window`` struct, if there is one, with its two ends."""
-    measures = ["min_price", "max_price", "sum_price", "priced_count", "flight_count"]
     if "window" not in cells.columns:
-        return cells.select(*keys, *window_bounds(cells), *measures)
+        return cells.select(*keys, *window_bounds(cells), *MEASURES)
     ends = [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
-    return cells.select(*keys, *ends, *measures)
+    return cells.select(*keys, *ends, *MEASURES)
