@@ -1,0 +1,164 @@
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+import quotelane as ql
+from conftest import rows_of
+from quotelane.functions.codec import decode_quotes
+from quotelane.operators.ranking import cheapest
+from quotelane.schema import QUOTE, ROUTE
+from quotelane.sinks.stores import ParquetStore
+from quotelane.streaming import runs
+
+START = datetime(2024, 1, 1)
+NOW = {"availableNow": True}
+ROUTES = [("JFK", "LAX"), ("ORD", "MIA")]
+
+
+def unchanged(df, table):
+    return df
+
+
+def payloads(minutes):
+    """Some quotes at each of ``minutes`` after the start; prices repeat, so there are ties."""
+    out = []
+    for m in minutes:
+        for i, (origin, destination) in enumerate(ROUTES):
+            for airline in "xyz":
+                price = (m * 7 + ord(airline) * (i + 3)) % 5 * 10
+                stamp = (START + timedelta(minutes=m)).isoformat(timespec="microseconds")
+                out.append(
+                    {"origin": origin, "destination": destination, "airline": airline,
+                     "airline_name": airline * 2, "price_usd": price, "timestamp": stamp}
+                )
+    return out
+
+
+class Feed:
+    """A folder of message files, one micro-batch per file."""
+
+    def __init__(self, spark, root):
+        self.spark, self.path, self.files = spark, str(root / "feed"), 0
+
+    def add(self, quotes):
+        rows = [(json.dumps(q), "topic", START) for q in quotes]
+        df = self.spark.createDataFrame(rows, "value string, topic string, timestamp timestamp")
+        df.coalesce(1).write.mode("append").parquet(self.path)
+
+    def messages(self):
+        schema = "value string, topic string, timestamp timestamp"
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(self.path)
+
+    def quotes(self):
+        return decode_quotes(self.messages(), QUOTE)
+
+    def all_quotes(self):
+        return decode_quotes(self.spark.read.parquet(self.path), QUOTE)
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+@pytest.fixture
+def store(tmp_path):
+    return ParquetStore(str(tmp_path / "store"))
+
+
+def run(feed, store, tmp_path, **options):
+    options = {"window": "10 minutes", "trigger": NOW, "fit": unchanged, **options}
+    query = runs.start_reports(feed.quotes(), store, str(tmp_path / "checkpoints"), **options)
+    query.awaitTermination()
+    return query
+
+
+def expected(quotes, slide=None):
+    return {
+        "route_stats": ql.route_stats(quotes, "10 minutes", slide),
+        "best_airlines": cheapest(ql.airline_averages(quotes, "10 minutes", slide)),
+        "price_trends": ql.price_trend(quotes, "10 minutes", slide),
+    }
+
+
+@pytest.mark.parametrize("slide", [None, "5 minutes"])
+def test_snapshots_equal_batch_over_several_micro_batches_and_restarts(spark, feed, store, tmp_path, slide):
+    feed.add(payloads(range(0, 30, 4)))
+    feed.add(payloads(range(20, 60, 4)))
+    query = run(feed, store, tmp_path, slide=slide)
+    assert runs.stream_seconds(query) > 0
+    feed.add(payloads([1, 2, 3]))  # late quotes still count
+    run(feed, store, tmp_path, slide=slide)
+    for table, report in expected(feed.all_quotes(), slide).items():
+        assert rows_of(store.read(spark, table)) == rows_of(report), table
+
+
+@pytest.mark.parametrize("slide", [None, "5 minutes"])
+def test_closed_windows_are_stored_once(spark, feed, store, tmp_path, slide):
+    feed.add(payloads(range(0, 30, 4)))
+    feed.add(payloads(range(30, 60, 4)))
+    feed.add(payloads([100]))
+    run(feed, store, tmp_path, slide=slide, watermark="15 minutes")
+    closed = F.col("window_end") <= F.lit(START + timedelta(minutes=85))
+    for table, report in expected(feed.all_quotes(), slide).items():
+        assert rows_of(store.read(spark, table)) == rows_of(report.where(closed)), table
+
+
+def test_too_late_quotes_are_left_out_with_a_watermark(spark, feed, store, tmp_path):
+    feed.add(payloads([0, 5]))
+    feed.add(payloads([100]))
+    feed.add(payloads([101]))
+    feed.add(payloads([6]))
+    feed.add(payloads([200]))
+    run(feed, store, tmp_path, watermark="15 minutes")
+    first = store.read(spark, "route_stats").where(F.col("window_start") == F.lit(START))
+    assert rows_of(first, "flight_count") == [(6,), (6,)]
+
+
+def test_changed_cells_give_the_same_reports(spark, feed, store, tmp_path):
+    feed.add(payloads(range(0, 30, 4)))
+    feed.add(payloads(range(10, 60, 4)))
+    checkpoints = str(tmp_path / "checkpoints")
+    runs.start_cells(feed.quotes(), store, checkpoints, "10 minutes", trigger=NOW).awaitTermination()
+    cells = runs.latest_cells(store.read(spark, "fare_cells"))
+    for table, report in runs.window_reports(cells).items():
+        assert rows_of(report) == rows_of(expected(feed.all_quotes())[table]), table
+    assert rows_of(ql.merge_cells(cells, ROUTE).agg(F.sum("flight_count"))) == [(feed.all_quotes().count(),)]
+
+
+def test_archive_holds_every_message_even_unreadable_ones(spark, feed, store, tmp_path):
+    feed.add(payloads([0, 1]))
+    feed.add([{"nothing": 1}, "garbage"])
+    quotes = decode_quotes(feed.messages())
+    runs.start_archive(quotes, store, str(tmp_path / "checkpoints"), NOW).awaitTermination()
+    archive = store.read(spark, "raw_flight_prices")
+    assert archive.count() == 14
+    assert archive.where("origin IS NULL").count() == 2
+    assert archive.where("date = '2024-01-01' AND inserted_at IS NOT NULL").count() == 12
+
+
+def test_repeated_micro_batch_changes_nothing(spark, feed, store, tmp_path):
+    feed.add(payloads(range(0, 30, 4)))
+    cells = ql.fare_cells(feed.all_quotes(), window="10 minutes")
+    for _ in range(2):
+        for table, report in runs.window_reports(cells).items():
+            store.replace(report, table, 0)
+            store.append_batch(report, f"added_{table}", 0)
+    for table, report in expected(feed.all_quotes()).items():
+        assert rows_of(store.read(spark, table)) == rows_of(report)
+        assert rows_of(store.read(spark, f"added_{table}")) == rows_of(report)
+
+
+def test_empty_stream_stores_nothing(spark, feed, store, tmp_path):
+    feed.add([])
+    run(feed, store, tmp_path)
+    assert not (tmp_path / "store").exists()
+
+
+def test_state_is_kept_per_pane_for_sliding_snapshots(feed, store, tmp_path):
+    feed.add(payloads(range(0, 30)))
+    query = run(feed, store, tmp_path, slide="5 minutes")
+    state_rows = sum(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress[-1:])
+    assert state_rows == 6 * len(ROUTES) * 3
