@@ -83,6 +83,6 @@ def event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("user_id % 25").alias("batch_result_count"),
         F.col("value").alias("streaming_avg_price"),
         F.expr("value + 1").alias("batch_avg_price"),
-        F.expr("100 / value").alias("price_diff_percentage"),
+        F.expr("value / 8").alias("price_diff_percentage"),
         F.col("ts").alias("comparison_timestamp"),
     )

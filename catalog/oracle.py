@@ -24,7 +24,7 @@ METRICS = """m AS (
   SELECT event_type AS query_type, CAST(60 + user_id % 50 AS DOUBLE) AS streaming_execution_time,
          value AS batch_execution_time, user_id AS streaming_result_count,
          user_id % 25 AS batch_result_count, value AS streaming_avg_price,
-         value + 1 AS batch_avg_price, 100 / value AS price_diff_percentage,
+         value + 1 AS batch_avg_price, value / 8 AS price_diff_percentage,
          ts AS comparison_timestamp
   FROM events)"""
 

@@ -72,7 +72,7 @@ def rank_averages(averages: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> Da
 
 
 def rankable(averages: DataFrame) -> DataFrame:
-    return averages.dropna(subset=[*ROUTE, "avg_price"])
+    return averages.where(" AND ".join(f"{name} IS NOT NULL" for name in (*ROUTE, "avg_price")))
 
 
 def _group(averages: DataFrame) -> list[str]:

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,23 @@ def build_session(app_name: str, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def adaptive_execution(spark: SparkSession) -> Iterator[None]:
+    """Turn adaptive execution on for a while.
+
+    Spark turns it off in the session of a stream, because state must stay where it
+    is. The rows handed to ``foreachBatch`` have left the state; without adaptive
+    execution each write of them would leave one small file per shuffle partition.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and stream checkpoints.
 

@@ -25,19 +25,14 @@ class ParquetStore:
         return read_results(spark, self.path(table))
 
     def append(self, df: DataFrame, table: str) -> None:
-        if table != ARCHIVE:
+        if table == ARCHIVE:
+            _by_date(df).write.mode("append").partitionBy("date").parquet(self.path(table))
+        else:
             df.write.mode("append").parquet(self.path(table))
-            return
-        dated = _dated(df)
-        # Gathers each date into few files. Only adaptive execution splits a large
-        # date among tasks, so without it every task writes its own dates.
-        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-            dated = dated.hint("rebalance", "date")
-        dated.write.mode("append").partitionBy("date").parquet(self.path(table))
 
     def append_batch(self, df: DataFrame, table: str, batch_id: int) -> None:
         if table == ARCHIVE:
-            write_batch(_dated(df), self.path(table), batch_id, outer="date")
+            write_batch(_by_date(df), self.path(table), batch_id, outer="date")
         else:
             write_batch(df, self.path(table), batch_id)
 
@@ -80,5 +75,13 @@ class JdbcStore:
         df.write.jdbc(self.url, table, mode="overwrite", properties=options)
 
 
-def _dated(quotes: DataFrame) -> DataFrame:
-    return quotes.withColumn("date", F.to_date("timestamp"))
+def _by_date(quotes: DataFrame) -> DataFrame:
+    """Quotes with their date, each date gathered into few files.
+
+    Adaptive execution splits a large date among tasks. Without it a whole date would
+    go to one task, so then the rows stay where they are.
+    """
+    dated = quotes.withColumn("date", F.to_date("timestamp"))
+    if dated.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return dated.hint("rebalance", "date")
+    return dated

@@ -22,6 +22,7 @@ from quotelane.operators.aggregates import (
 )
 from quotelane.operators.ranking import cheapest
 from quotelane.schema import CARRIER, ROUTE
+from quotelane.session import adaptive_execution
 from quotelane.sinks.columns import conform
 
 WINDOW = "30 minutes"
@@ -142,7 +143,11 @@ def stream_seconds(query: StreamingQuery) -> float:
 
 
 def _start(df: DataFrame, store_batch, mode: str, checkpoint: str, trigger: dict | None):
+    def store_adaptively(rows: DataFrame, batch_id: int) -> None:
+        with adaptive_execution(rows.sparkSession):
+            store_batch(rows, batch_id)
+
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.foreachBatch(store_batch).start()
+    return writer.foreachBatch(store_adaptively).start()

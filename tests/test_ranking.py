@@ -42,6 +42,16 @@ def test_unknown_routes_and_averages_are_never_best(quotes):
         assert rows_of(best, "origin", "destination", "airline") == [("A", "B", "y")]
 
 
+def test_not_a_number_ranks_last_but_is_a_known_average(quotes):
+    nan = float("nan")
+    df = quotes([("A", "B", "x", nan, T0), ("A", "B", "y", 9.0, T0), ("C", "D", "x", nan, T0), ("C", "D", "y", nan, T0)])
+    for report in (ql.best_airline, ql.best_airline_semi):
+        assert rows_of(report(df), "origin", "airline") == [("A", "y"), ("C", "x"), ("C", "y")]
+    for bound in (0, 9):
+        ranked = ql.price_rank(df, one_task_rows=bound)
+        assert rows_of(ranked, "origin", "airline", "price_rank") == [("A", "x", 2), ("A", "y", 1), ("C", "x", 1), ("C", "y", 1)]
+
+
 def test_an_airline_without_a_code_can_be_best(quotes):
     df = quotes([("A", "B", None, 1.0, T0), ("A", "B", "y", 9.0, T0)])
     assert rows_of(ql.best_airline(df), "airline", "avg_price") == [(None, 1.0)]

@@ -157,6 +157,22 @@ def test_empty_stream_stores_nothing(spark, feed, store, tmp_path):
     assert not (tmp_path / "store").exists()
 
 
+def test_stored_files_are_few_and_adaptive_execution_is_restored(spark, feed, store, tmp_path):
+    feed.add(payloads(range(0, 30)))
+    feed.add(payloads(range(30, 60)))
+    seen = []
+
+    def watching(df, table):
+        seen.append(df.sparkSession)
+        return df
+
+    run(feed, store, tmp_path, fit=watching)
+    files = list((tmp_path / "store" / "route_stats").rglob("*.parquet"))
+    assert len(files) == 2  # one per snapshot, not one per shuffle partition
+    assert seen[-1].conf.get("spark.sql.adaptive.enabled") == "false"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
 def test_state_is_kept_per_pane_for_sliding_snapshots(feed, store, tmp_path):
     feed.add(payloads(range(0, 30)))
     query = run(feed, store, tmp_path, slide="5 minutes")
