@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quotelane.functions.windows import is_sliding, pane
 from quotelane.operators.aggregates import (
+    MEASURES,
     averages_from_cells,
     fare_cells,
     merge_cells,
@@ -126,9 +127,9 @@ def start_cells(
 def latest_cells(stored: DataFrame) -> DataFrame:
     """The newest version of each cell."""
     keys = [*CELL_KEYS, *window_bounds(stored)]
-    measures = [name for name in stored.columns if name not in (*keys, "version")]
-    newest = F.max_by(F.struct(*measures), "version").alias("cell")
-    return stored.groupBy(*keys).agg(newest).select(*keys, "cell.*")
+    # One by one: numbers can be aggregated in a hash table, a struct of them cannot.
+    newest = [F.max_by(name, "version").alias(name) for name in MEASURES]
+    return stored.groupBy(*keys).agg(*newest)
 
 
 def await_any(spark: SparkSession) -> None:

@@ -123,6 +123,7 @@ def test_changed_cells_give_the_same_reports(spark, feed, store, tmp_path):
     checkpoints = str(tmp_path / "checkpoints")
     runs.start_cells(feed.quotes(), store, checkpoints, "10 minutes", trigger=NOW).awaitTermination()
     cells = runs.latest_cells(store.read(spark, "fare_cells"))
+    assert "SortAggregate" not in cells._jdf.queryExecution().executedPlan().toString()
     for table, report in runs.window_reports(cells).items():
         assert rows_of(report) == rows_of(expected(feed.all_quotes())[table]), table
     assert rows_of(ql.merge_cells(cells, ROUTE).agg(F.sum("flight_count"))) == [(feed.all_quotes().count(),)]
