@@ -85,7 +85,7 @@ def ranks(source, columns: str = "", where: str = "") -> str:
     columns = columns or f"{group}, airline, airline_name, avg_price, flight_count, price_rank"
     return f"""{ctes}, ranked AS (
   SELECT {group}, airline, airline_name, round(ap, 6) AS avg_price, flight_count,
-         rank() OVER (PARTITION BY {group} ORDER BY ap) AS price_rank
+         CAST(rank() OVER (PARTITION BY {group} ORDER BY ap) AS INTEGER) AS price_rank
   FROM a WHERE ap IS NOT NULL)
 SELECT {columns} FROM ranked {where}"""
 
@@ -149,6 +149,10 @@ def compared_best(source, query_type: str, as_of: str, within: str) -> str:
     return compared(sides(source[0], ""), sides(source, f"{BOUNDS},"), query_type, as_of, within)
 
 
+def untimed(comparison: str) -> str:
+    return f"SELECT * EXCLUDE (batch_execution_time) FROM ({comparison})"
+
+
 LATEST_METRICS = f"""WITH {METRICS}
 SELECT query_type, streaming_execution_time, batch_execution_time, streaming_result_count,
        batch_result_count, round(streaming_avg_price, 6) AS streaming_avg_price,
@@ -241,6 +245,11 @@ SELECT origin, destination, airline, airline_name, CAST(price_usd AS DECIMAL(10,
        "timestamp", {TOPIC}, "timestamp" + INTERVAL '1 second' AS kafka_timestamp FROM q""",
     "stream_cells_route_stats": stats(E_TUMBLING),
     "stream_cells_best_airline": best_ranked(E_TUMBLING),
+    # All windows are stored within the hour.
+    "stream_batch_comparison": " UNION ALL ".join(
+        untimed(compare(E_TUMBLING, query_type, "2000-01-01", "1 hour"))
+        for compare, query_type in ((compared_stats, "route_stats"), (compared_best, "best_airlines"))
+    ),
     "star_route_stats": stats(STAR),
     "star_route_stats_windowed": stats(T_TUMBLING),
     "star_route_stats_sliding": stats(T_SLIDING),

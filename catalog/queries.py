@@ -10,7 +10,7 @@ from catalog.mapping import event_metrics, event_quotes, event_stream, star_quot
 from quotelane.functions.codec import decode_quotes, encode_quotes, flatten_metadata
 from quotelane.operators.aggregates import averages_from_cells, stats_from_cells
 from quotelane.operators.ranking import cheapest
-from quotelane.plans.batch_run import batch_reports, run_batch
+from quotelane.plans.batch_run import COMPARED, batch_reports, run_batch
 from quotelane.schema import QUOTE, ROUTE
 from quotelane.session import scratch_path
 from quotelane.sinks.columns import conform
@@ -186,6 +186,25 @@ def streamed(table: str, slide: str | None = None, watermark: str | None = None)
     return run
 
 
+def stream_against_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the stream to its end, then the batch, then compare what both have stored."""
+
+    def stamped(df: DataFrame, table: str) -> DataFrame:
+        return df.withColumn("created_at", F.current_timestamp())
+
+    store = ParquetStore(scratch_path(spark, "both"))
+    checkpoint = scratch_path(spark, "checkpoint")
+    stream = event_stream(spark, sf_dir)
+    now = {"availableNow": True}
+    runs.start_reports(stream, store, checkpoint, EVENT_WINDOW, trigger=now, fit=stamped).awaitTermination()
+    run_batch(event_quotes(spark, sf_dir), store, stamped)
+    first, second = (
+        ql.compare_results(store.read(spark, streaming), store.read(spark, batch), query_type, 1800)
+        for query_type, streaming, batch in COMPARED
+    )
+    return presented(first.unionAll(second).drop("batch_execution_time"))
+
+
 def streamed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = ParquetStore(scratch_path(spark, "stream"))
     messages = as_messages(event_stream(spark, sf_dir))
@@ -262,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "stream_raw_archive": streamed_archive,
     "stream_cells_route_stats": streamed_cells(lambda c: stats_from_cells(ql.merge_cells(c, ROUTE))),
     "stream_cells_best_airline": streamed_cells(lambda c: cheapest(averages_from_cells(c))),
+    "stream_batch_comparison": stream_against_batch,
     # Reports on the star schema.
     "star_route_stats": on_star(ql.route_stats),
     "star_route_stats_windowed": on_star(lambda q: ql.route_stats(q, STAR_WINDOW)),

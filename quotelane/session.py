@@ -59,9 +59,9 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_roots.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="quotelane-")
-    )
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="quotelane-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
