@@ -1,13 +1,16 @@
 """Event-time window helpers."""
 
 import math
+import re
 
 import pandas as pd
 
 
 def micros(duration: str) -> int:
     """Length of a day-time duration such as ``30 minutes`` in microseconds."""
-    return pd.Timedelta(duration) // pd.Timedelta(1, "us")
+    units = duration.lower().strip().removeprefix("interval ")
+    units = re.sub(r"(\d+)\s*weeks?", lambda match: f"{7 * int(match[1])} days", units)
+    return pd.Timedelta(units) // pd.Timedelta(1, "us")
 
 
 def is_sliding(window: str, slide: str | None) -> bool:

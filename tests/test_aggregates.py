@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import quotelane as ql
 from catalog.mapping import event_quotes
 from conftest import SMALL, rows_of
+from quotelane.functions.windows import is_sliding, micros, pane
 from quotelane.schema import ROUTE
 
 T0 = "2024-01-01T00:00:00"
@@ -79,6 +80,14 @@ def test_panes_give_the_same_sliding_windows(spark, window, slide):
     assert rows_of(stats) == rows_of(direct)
 
 
+def test_durations():
+    hour = 3_600_000_000
+    assert micros("1 week") == micros("INTERVAL 7 days") == 168 * hour
+    assert micros("1 hour 30 minutes") == micros("5400 seconds") == 1.5 * hour
+    assert pane("25 minutes", "10 minutes") == "300000000 microseconds"
+    assert not is_sliding("60 minutes", "1 hour") and is_sliding("1 hour", "10 minutes")
+
+
 def test_slide_equal_to_window_is_tumbling(spark):
     df = event_quotes(spark, SMALL)
     assert rows_of(ql.route_stats(df, "1 hour", "60 minutes")) == rows_of(ql.route_stats(df, "1 hour"))

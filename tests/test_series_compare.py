@@ -94,6 +94,15 @@ def test_comparison_joins_nothing(sides):
     assert "Join" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_recency_filter_reaches_the_files(spark, sides, tmp_path):
+    stream, batch = sides([(150.0, at(11, 59))], [(150.0, at(11, 59), 1.0)])
+    stream.write.parquet(str(tmp_path / "stream"))
+    stored = spark.read.parquet(str(tmp_path / "stream"))
+    frame = ql.compare_results(stored, batch, "route_stats", 1800)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(created_at" in plan
+
+
 @pytest.fixture
 def metrics(spark):
     rows = [("route_stats" if i % 3 else None, 10.0 * (i % 2), float(i), i, i, 1.0, 1.0, float(i), at(i % 24, i)) for i in range(20)]

@@ -13,7 +13,7 @@ from quotelane.sinks.attempts import append_attempt, committed_rows, commits_tab
 from quotelane.sinks.batches import read_results, write_batch, write_snapshot
 from quotelane.sinks.columns import conform, database_types
 from quotelane.sinks.stores import JdbcStore, ParquetStore
-from quotelane.sources.jdbc import split_options
+from quotelane.sources.jdbc import read_jdbc, split_options
 from quotelane.sources.kafka import kafka_options
 from quotelane.sources.tables import register_view
 
@@ -113,6 +113,64 @@ def test_database_options():
         split_options("id")
 
 
+@pytest.fixture
+def database(spark, tmp_path, monkeypatch):
+    """A stand-in for a database: its tables are folders, its writes only append or replace."""
+    calls = []
+
+    def write(writer, url, table, mode=None, properties=None):
+        calls.append((table, mode, properties))
+        writer.mode(mode).parquet(str(tmp_path / table))
+
+    def read(session, url, table, properties=None, **split):
+        return session.read.parquet(str(tmp_path / table))
+
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.jdbc", write)
+    monkeypatch.setattr("quotelane.sinks.stores.read_jdbc", read)
+    return calls
+
+
+def test_database_store(spark, quotes, database):
+    store = JdbcStore("jdbc:x", {"user": "u"}, writers=3)
+    rows = conform(quotes([("A", "B", "x", 1.0, T0)]), "raw_flight_prices")
+    for _ in range(2):
+        store.append_batch(rows, "raw_flight_prices", 0)
+    store.append_batch(rows, "raw_flight_prices", 1)
+    archive = store.read(spark, "raw_flight_prices")
+    assert archive.count() == 2 and archive.columns == list(TABLES["raw_flight_prices"])
+    table, mode, properties = database[0]
+    assert (table, mode, properties["numPartitions"]) == ("raw_flight_prices", "append", "3")
+    assert "origin VARCHAR(3)" in properties["createTableColumnTypes"]
+
+    for batch_id in (0, 1, 1):
+        store.replace(spark.range(batch_id + 1), "snapshot", batch_id)
+    assert store.read(spark, "snapshot").count() == 2
+    assert database[-1][1:] == ("overwrite", {"user": "u", "numPartitions": "3", "truncate": "true"})
+
+
+def test_batch_run_from_a_database(spark, quotes, database):
+    store = JdbcStore("jdbc:x")
+    store.append_batch(conform(quotes([("A", "B", "x", 1.5, T0)]), "raw_flight_prices"), "raw_flight_prices", 0)
+    run_batch(store.read(spark, "raw_flight_prices"), store)
+    assert rows_of(store.read(spark, "batch_route_stats"), "avg_price") == [(Decimal("1.50"),)]
+
+
+def test_jdbc_reader_options(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameReader.load", lambda reader: reader)
+    monkeypatch.setattr(
+        "pyspark.sql.readwriter.DataFrameReader.options", lambda reader, **o: seen.update(o) or reader
+    )
+    monkeypatch.setattr(
+        "pyspark.sql.readwriter.DataFrameReader.jdbc", lambda reader, *a, **o: seen.update(o) or reader
+    )
+    split = {"column": "timestamp", "lower": "2024-01-01", "upper": "2024-02-01", "partitions": 64}
+    read_jdbc(spark, "jdbc:x", "t", {"user": "u"}, **split)
+    assert seen["dbtable"] == "t" and seen["partitionColumn"] == "timestamp" and seen["user"] == "u"
+    read_jdbc(spark, "jdbc:x", "t", predicates=["id < 5", "id >= 5"])
+    assert seen["predicates"] == ["id < 5", "id >= 5"]
+
+
 def test_kafka_options():
     assert kafka_options("h:9092", ["a", "b"], minPartitions="64") == {
         "kafka.bootstrap.servers": "h:9092",
