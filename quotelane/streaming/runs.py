@@ -5,7 +5,7 @@ All reports of a stream share one stateful query. Its state is a set of cells (s
 the number of reports.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from quotelane.session import adaptive_execution
 from quotelane.sinks.columns import conform
 
 WINDOW = "30 minutes"
+TABLES = ("route_stats", "best_airlines", "price_trends")
 CELL_KEYS = ROUTE + CARRIER
 
 
@@ -58,8 +59,9 @@ def start_reports(
     watermark: str | None = None,
     trigger: dict | None = None,
     fit: Callable[[DataFrame, str], DataFrame] = conform,
+    tables: Collection[str] = TABLES,
 ) -> StreamingQuery:
-    """Keep the windowed reports of a stream in ``store``.
+    """Keep the windowed reports of a stream in ``store``, all or those of ``tables``.
 
     Without a watermark each batch stores a new snapshot of every window. With one,
     a window is stored once, when it can no longer change. All airlines of a window
@@ -75,9 +77,10 @@ def start_reports(
                 return
             if sliding and not watermark:
                 cells = merge_cells(cells, CELL_KEYS, window, slide)
-            for table, report in window_reports(cells).items():
-                save = store.append_batch if watermark else store.replace
-                save(fit(report, table), table, batch_id)
+            reports = window_reports(cells)
+            save = store.append_batch if watermark else store.replace
+            for table in tables:
+                save(fit(reports[table], table), table, batch_id)
         finally:
             rows.unpersist()
 

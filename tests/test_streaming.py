@@ -174,6 +174,12 @@ def test_stored_files_are_few_and_adaptive_execution_is_restored(spark, feed, st
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
+def test_one_report_only(spark, feed, store, tmp_path):
+    feed.add(payloads([0, 1]))
+    run(feed, store, tmp_path, tables=["price_trends"])
+    assert [path.name for path in (tmp_path / "store").iterdir()] == ["price_trends"]
+
+
 def test_state_is_kept_per_pane_for_sliding_snapshots(feed, store, tmp_path):
     feed.add(payloads(range(0, 30)))
     query = run(feed, store, tmp_path, slide="5 minutes")
