@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ import quotelane as ql
 from catalog.mapping import event_quotes
 from conftest import SMALL, rows_of
 from quotelane.operators.ranking import cheapest, rank_averages
+from quotelane.session import materialize
 
 T0 = "2024-01-01T00:00:00"
 AVERAGES = "origin string, destination string, airline string, airline_name string, avg_price double, flight_count long"
@@ -70,6 +72,15 @@ def test_limit_runs_before_the_shuffle(spark):
     assert plan.index("Exchange") < partial < plan.rindex("Exchange")
 
 
+@pytest.fixture
+def many_slices(spark):
+    """Keep Spark from merging the slices of small tables into one."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
@@ -78,7 +89,7 @@ def test_limit_runs_before_the_shuffle(spark):
         max_size=60,
     )
 )
-def test_rank_in_slices_against_brute_force(spark, drawn):
+def test_rank_in_slices_against_brute_force(spark, many_slices, drawn):
     rows = [(o, "Z", f"c{i}", f"n{i}", p, n) for i, (o, p, n) in enumerate(drawn)]
     averages = spark.createDataFrame(rows, AVERAGES)
     expected = [(*r, 1 + sum(q[0] == r[0] and q[4] < r[4] for q in rows)) for r in rows]
@@ -87,8 +98,15 @@ def test_rank_in_slices_against_brute_force(spark, drawn):
         assert Counter(map(tuple, ranked.collect())) == Counter(expected)
 
 
-def test_rank_in_slices_with_one_large_group(spark):
+def test_rank_in_slices_with_one_large_group(spark, many_slices, monkeypatch):
     """A group that spans all slices, with a level that holds a third of its rows."""
+    stored = {}
+
+    def watched(df, label):
+        stored[label] = materialize(df, label)
+        return stored[label]
+
+    monkeypatch.setattr("quotelane.operators.ranking.materialize", watched)
     averages = spark.range(9000).select(
         F.when(F.col("id") % 10 == 0, "B").otherwise("A").alias("origin"),
         F.lit("Z").alias("destination"),
@@ -98,5 +116,6 @@ def test_rank_in_slices_with_one_large_group(spark):
         F.lit(1).cast("long").alias("flight_count"),
     )
     sliced, sorted_in_a_task = (rank_averages(averages, bound) for bound in (0, 1_000_000))
+    assert stored["levels"].where("origin = 'A'").select("slice").distinct().count() == 4
     assert sliced.dtypes == sorted_in_a_task.dtypes
     assert rows_of(sliced) == rows_of(sorted_in_a_task)
