@@ -230,7 +230,7 @@ SELECT origin, destination, airline, airline_name, CAST(price_usd AS DECIMAL(10,
        "timestamp", {ROUTE_ID}, {TOPIC}, CAST("timestamp" AS DATE) AS date FROM q""",
     "batch_stored": f"""WITH {EVENTS}
 SELECT origin, destination, CAST(min(price_usd) AS DECIMAL(10,2)) AS min_price,
-       CAST(max(price_usd) AS DECIMAL(10,2)) AS max_price, CAST(count(*) AS INTEGER) AS flight_count,
+       CAST(max(price_usd) AS DECIMAL(10,2)) AS max_price, count(*) AS flight_count,
        TRUE AS timed, TRUE AS stamped FROM q GROUP BY origin, destination""",
     "stream_route_stats": stats(E_TUMBLING),
     "stream_best_airline": best_ranked(E_TUMBLING),

@@ -8,13 +8,20 @@ from quotelane.sinks.stores import JdbcStore, ParquetStore
 def parser(description: str) -> argparse.ArgumentParser:
     options = argparse.ArgumentParser(description=description)
     options.add_argument("--store", required=True, help="folder of the tables, or a jdbc: URL")
-    options.add_argument(
-        "--property", action="append", default=[], metavar="KEY=VALUE", help="JDBC connection property"
-    )
+    add_pairs(options, "--property", "JDBC connection property")
     return options
 
 
+def add_pairs(options: argparse.ArgumentParser, flag: str, meaning: str) -> None:
+    """An option that may be given several times."""
+    options.add_argument(flag, action="append", default=[], metavar="KEY=VALUE", help=meaning)
+
+
+def pairs(given: list[str]) -> dict[str, str]:
+    return dict(item.split("=", 1) for item in given)
+
+
 def open_store(given: argparse.Namespace):
     if given.store.startswith("jdbc:"):
-        return JdbcStore(given.store, dict(item.split("=", 1) for item in given.property))
+        return JdbcStore(given.store, pairs(given.property))
     return ParquetStore(given.store)

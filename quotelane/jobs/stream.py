@@ -1,7 +1,7 @@
 """Archive the quotes of some topics and keep the windowed reports over them."""
 
 from quotelane.functions.codec import decode_quotes
-from quotelane.jobs.options import open_store, parser
+from quotelane.jobs.options import add_pairs, open_store, pairs, parser
 from quotelane.session import build_session, scratch_root
 from quotelane.sources.kafka import read_kafka_stream
 from quotelane.streaming import runs
@@ -12,6 +12,7 @@ def main(arguments: list[str] | None = None) -> None:
     options.add_argument("--servers", required=True, help="Kafka bootstrap servers")
     options.add_argument("--topics", required=True, nargs="+")
     options.add_argument("--starting-offsets", default="latest")
+    add_pairs(options, "--kafka", "reader option, e.g. maxOffsetsPerTrigger=50000000")
     options.add_argument("--window", default=runs.WINDOW)
     options.add_argument("--slide")
     options.add_argument("--watermark", help="store only windows that this delay has closed")
@@ -22,9 +23,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session("quotelane-stream")
     store = open_store(given)
     checkpoints = given.checkpoints or f"{scratch_root(spark)}/quotelane/streams"
-    messages = read_kafka_stream(
-        spark, given.servers, given.topics, starting_offsets=given.starting_offsets
-    )
+    reading = {"starting_offsets": given.starting_offsets, **pairs(given.kafka)}
+    messages = read_kafka_stream(spark, given.servers, given.topics, **reading)
     quotes = decode_quotes(messages)
     every = {"processingTime": given.every}
     runs.start_reports(

@@ -48,7 +48,8 @@ QUOTE_FULL = T.StructType(
     ]
 )
 
-# Column types of the stored tables, load stamp last.
+# Column types of the stored tables, load stamp last. Counts are long, as a busy route has
+# more quotes than an int can count.
 TABLES = {
     "raw_flight_prices": {
         "airline": "string",
@@ -77,7 +78,7 @@ TABLES = {
         "min_price": "decimal(10,2)",
         "max_price": "decimal(10,2)",
         "avg_price": "decimal(10,2)",
-        "flight_count": "int",
+        "flight_count": "bigint",
         "created_at": "timestamp",
     },
     "best_airlines": {
@@ -88,7 +89,7 @@ TABLES = {
         "airline": "string",
         "airline_name": "string",
         "avg_price": "decimal(10,2)",
-        "flight_count": "int",
+        "flight_count": "bigint",
         "price_rank": "int",
         "created_at": "timestamp",
     },
@@ -106,7 +107,7 @@ TABLES = {
         "min_price": "decimal(10,2)",
         "max_price": "decimal(10,2)",
         "avg_price": "decimal(10,2)",
-        "flight_count": "int",
+        "flight_count": "bigint",
         "execution_time": "decimal(10,3)",
         "created_at": "timestamp",
     },
@@ -116,7 +117,7 @@ TABLES = {
         "airline": "string",
         "airline_name": "string",
         "avg_price": "decimal(10,2)",
-        "flight_count": "int",
+        "flight_count": "bigint",
         "price_rank": "int",
         "execution_time": "decimal(10,3)",
         "created_at": "timestamp",
@@ -125,8 +126,8 @@ TABLES = {
         "query_type": "string",
         "streaming_execution_time": "decimal(10,3)",
         "batch_execution_time": "decimal(10,3)",
-        "streaming_result_count": "int",
-        "batch_result_count": "int",
+        "streaming_result_count": "bigint",
+        "batch_result_count": "bigint",
         "streaming_avg_price": "decimal(10,2)",
         "batch_avg_price": "decimal(10,2)",
         # A double: a two-digit-scale decimal of five digits cannot hold 1000 %.

@@ -10,16 +10,15 @@ from quotelane.schema import LOAD_STAMPS, STRING_SIZES, TABLES
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the columns of ``table`` in its types, with the time of loading.
 
-    Columns that ``df`` lacks are NULL. In the raw archive a value that does not fit
-    is NULL by itself, as in decoding; in result tables it is an error.
+    Columns that ``df`` lacks are NULL. A value that does not fit its column is NULL
+    by itself, as in decoding: one absurd price must not stop a stream for good.
     """
     if "_metadata" in df.columns:
         df = flatten_metadata(df)
     columns = []
     for name, kind in TABLES[table].items():
         if name in df.columns:
-            value = F.col(name)
-            value = value.try_cast(kind) if table == "raw_flight_prices" else value.cast(kind)
+            value = F.col(name).try_cast(kind)
         elif name in LOAD_STAMPS:
             value = F.current_timestamp()
         else:

@@ -27,7 +27,7 @@ from quotelane.session import adaptive_execution
 from quotelane.sinks.columns import conform
 
 WINDOW = "30 minutes"
-TABLES = ("route_stats", "best_airlines", "price_trends")
+REPORTS = ("route_stats", "best_airlines", "price_trends")
 CELL_KEYS = ROUTE + CARRIER
 
 
@@ -59,13 +59,14 @@ def start_reports(
     watermark: str | None = None,
     trigger: dict | None = None,
     fit: Callable[[DataFrame, str], DataFrame] = conform,
-    tables: Collection[str] = TABLES,
+    tables: Collection[str] = REPORTS,
 ) -> StreamingQuery:
     """Keep the windowed reports of a stream in ``store``, all or those of ``tables``.
 
     Without a watermark each batch stores a new snapshot of every window. With one,
     a window is stored once, when it can no longer change. All airlines of a window
-    leave the state in the same batch, so ranking a batch ranks whole windows.
+    leave the state in the same batch, so ranking a batch ranks whole windows. Mind
+    that a stamp far in the future closes all windows before it.
     """
     timed = with_event_time(quotes, watermark)
     sliding = bool(slide) and is_sliding(window, slide)
@@ -109,21 +110,21 @@ def start_cells(
     store,
     checkpoints: str,
     window: str = WINDOW,
-    slide: str | None = None,
     watermark: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Store only the cells that a batch changed, in table ``fare_cells``.
 
     Unlike a snapshot, a batch costs no more than its own quotes touch. Reports are
-    computed on reading: ``window_reports(latest_cells(...))``.
+    computed on reading: ``window_reports(latest_cells(...))``. ``merge_cells`` makes
+    longer or sliding windows of the cells first.
     """
 
     def store_batch(rows: DataFrame, batch_id: int) -> None:
         changed = rows.withColumn("version", F.lit(batch_id).cast("long"))
         store.append_batch(changed, "fare_cells", batch_id)
 
-    cells = fare_cells(with_event_time(quotes, watermark), CELL_KEYS, window, slide)
+    cells = fare_cells(with_event_time(quotes, watermark), CELL_KEYS, window)
     return _start(cells, store_batch, "update", f"{checkpoints}/fare_cells", trigger)
 
 

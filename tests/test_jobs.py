@@ -45,14 +45,33 @@ def test_store_options():
     assert store.properties == {"user": "u", "password": "a=b"}
 
 
+def test_batch_job_splits_a_database_scan(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(batch, "build_session", lambda name: None)
+    monkeypatch.setattr(JdbcStore, "read", lambda store, spark, table, **split: seen.update(split))
+    monkeypatch.setattr(batch, "run_batch", lambda quotes, store: None)
+    monkeypatch.setattr(batch, "run_comparison", lambda *a, **k: None)
+    bounds = ["--column", "timestamp", "--lower", "2024-01-01", "--upper", "2024-02-01", "--partitions", "64"]
+    batch.main(["--store", "jdbc:x", *bounds])
+    assert seen == {"column": "timestamp", "lower": "2024-01-01", "upper": "2024-02-01", "partitions": 64}
+
+
 def test_stream_job_wires_its_options(spark, tmp_path, monkeypatch):
     started = []
-    monkeypatch.setattr(stream, "read_kafka_stream", lambda *a, **k: Feed(spark, tmp_path).messages())
+    reading = {}
+
+    def read(spark, servers, topics, **options):
+        reading.update(options, servers=servers, topics=topics)
+        return Feed(spark, tmp_path).messages()
+
+    monkeypatch.setattr(stream, "read_kafka_stream", read)
     monkeypatch.setattr(stream.runs, "start_reports", lambda *a: started.append(a))
     monkeypatch.setattr(stream.runs, "start_archive", lambda *a: started.append(a))
     monkeypatch.setattr(stream.runs, "await_any", lambda session: started.append("awaited"))
     Feed(spark, tmp_path).add(payloads([0]))
-    stream.main(["--servers", "h:1", "--topics", "a", "b", "--store", str(tmp_path / "s"), "--watermark", "1 hour"])
+    options = ["--servers", "h:1", "--topics", "a", "b", "--store", str(tmp_path / "s"), "--watermark", "1 hour"]
+    stream.main([*options, "--kafka", "maxOffsetsPerTrigger=9"])
+    assert reading == {"servers": "h:1", "topics": ["a", "b"], "starting_offsets": "latest", "maxOffsetsPerTrigger": "9"}
     reports, archive, last = started
     assert reports[3:] == ("30 minutes", None, "1 hour", {"processingTime": "1 minute"})
     assert reports[2].endswith("/quotelane/streams") and archive[2] == reports[2]

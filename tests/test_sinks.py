@@ -2,10 +2,10 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from quotelane.operators.aggregates import route_stats
 from quotelane.plans.batch_run import run_batch, run_comparison
 from quotelane.schema import TABLES
 from quotelane.session import materialize, scratch_root
@@ -28,13 +28,14 @@ def test_conform_types_and_load_stamp(spark, quotes):
     assert row.inserted_at is not None
 
 
-def test_archive_nulls_what_does_not_fit_and_results_do_not(spark, quotes):
+def test_what_does_not_fit_is_null_by_itself(spark, quotes):
     df = quotes([("JFK", "LAX", "DL", 1e12, T0)]).withColumn("departure_date", F.lit("soon"))
     row = conform(df, "raw_flight_prices").first()
     assert row.price_usd is None and row.departure_date is None and row.origin == "JFK"
-    stats = df.select("origin", "destination", F.col("price_usd").alias("avg_price"))
-    with pytest.raises(PySparkException):
-        conform(stats, "price_trends").collect()
+    for price in (1e12, float("inf"), float("nan")):
+        stats = route_stats(quotes([("JFK", "LAX", "DL", price, T0)]), "1 hour")
+        row = conform(stats, "route_stats").first()
+        assert (row.origin, row.max_price, row.avg_price, row.flight_count) == ("JFK", None, None, 1)
 
 
 def test_repeated_batch_adds_no_rows(spark, tmp_path):
