@@ -13,10 +13,14 @@ def micros(duration: str) -> int:
     return pd.Timedelta(units) // pd.Timedelta(1, "us")
 
 
-def is_sliding(window: str, slide: str | None) -> bool:
-    return slide is not None and micros(slide) != micros(window)
-
-
-def pane(window: str, slide: str) -> str:
-    """The longest tumbling duration that tiles every sliding window exactly."""
-    return f"{math.gcd(micros(window), micros(slide))} microseconds"
+def pane(window: str, slide: str | None) -> str | None:
+    """The longest tumbling duration that tiles every sliding window exactly.
+
+    None for tumbling windows, and for durations so uneven that a slide has more panes
+    than a quote has windows: then panes are more work than copies.
+    """
+    if slide is None or micros(slide) == micros(window):
+        return None
+    length, step = micros(window), micros(slide)
+    size = math.gcd(length, step)
+    return None if step // size > length / step else f"{size} microseconds"

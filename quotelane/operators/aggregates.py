@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelane.functions.measures import ratio
-from quotelane.functions.windows import is_sliding, pane
+from quotelane.functions.windows import pane
 from quotelane.schema import CARRIER, ROUTE
 
 BOUNDS = ["window_start", "window_end"]
@@ -44,8 +44,9 @@ def fare_cells(
     in a short tumbling pane, then the panes are copied into the windows they belong
     to. The direct way would copy every quote (window / slide) times.
     """
-    if window and is_sliding(window, slide) and not quotes.isStreaming:
-        return merge_cells(fare_cells(quotes, keys, pane(window, slide)), keys, window, slide)
+    panes = pane(window, slide) if window and not quotes.isStreaming else None
+    if panes:
+        return merge_cells(fare_cells(quotes, keys, panes), keys, window, slide)
     groups: list = list(keys)
     if window:
         groups.append(F.window("timestamp", window, slide).alias("window"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quotelane.functions.windows import is_sliding, pane
+from quotelane.functions.windows import pane
 from quotelane.operators.aggregates import (
     MEASURES,
     averages_from_cells,
@@ -69,14 +69,15 @@ def start_reports(
     that a stamp far in the future closes all windows before it.
     """
     timed = with_event_time(quotes, watermark)
-    sliding = bool(slide) and is_sliding(window, slide)
+    # Snapshots are free to keep panes as state and to build the windows from them.
+    panes = None if watermark else pane(window, slide)
 
     def store_batch(rows: DataFrame, batch_id: int) -> None:
         cells = rows.persist()
         try:
             if cells.isEmpty():
                 return
-            if sliding and not watermark:
+            if panes:
                 cells = merge_cells(cells, CELL_KEYS, window, slide)
             reports = window_reports(cells)
             save = store.append_batch if watermark else store.replace
@@ -85,9 +86,8 @@ def start_reports(
         finally:
             rows.unpersist()
 
-    # Snapshots are free to keep panes as state and to build the windows from them.
-    if sliding and not watermark:
-        cells = fare_cells(timed, CELL_KEYS, pane(window, slide))
+    if panes:
+        cells = fare_cells(timed, CELL_KEYS, panes)
     else:
         cells = fare_cells(timed, CELL_KEYS, window, slide)
     mode = "append" if watermark else "complete"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import quotelane as ql
 from catalog.mapping import event_quotes
 from conftest import SMALL, rows_of
-from quotelane.functions.windows import is_sliding, micros, pane
+from quotelane.functions.windows import micros, pane
 from quotelane.schema import ROUTE
 
 T0 = "2024-01-01T00:00:00"
@@ -68,7 +68,7 @@ def test_average_of_prices_that_are_not_cents(quotes, prices):
     assert average == pytest.approx(sum(prices) / len(prices), rel=1e-12)
 
 
-@pytest.mark.parametrize("window, slide", [("30 minutes", "10 minutes"), ("25 minutes", "10 minutes"), ("1 hour", "7 minutes")])
+@pytest.mark.parametrize("window, slide", [("30 minutes", "10 minutes"), ("25 minutes", "10 minutes"), ("1 hour", "7 minutes"), ("60 minutes", "59 minutes")])
 def test_panes_give_the_same_sliding_windows(spark, window, slide):
     df = event_quotes(spark, SMALL)
     direct = df.groupBy(*ROUTE, F.window("timestamp", window, slide).alias("w")).agg(
@@ -85,7 +85,9 @@ def test_durations():
     assert micros("1 week") == micros("INTERVAL 7 days") == 168 * hour
     assert micros("1 hour 30 minutes") == micros("5400 seconds") == 1.5 * hour
     assert pane("25 minutes", "10 minutes") == "300000000 microseconds"
-    assert not is_sliding("60 minutes", "1 hour") and is_sliding("1 hour", "10 minutes")
+    assert pane("60 minutes", "1 hour") is None and pane("60 minutes", None) is None
+    assert pane("60 minutes", "59 minutes") is None
+    assert pane("6 hours", "10 minutes") == "600000000 microseconds"
 
 
 def test_slide_equal_to_window_is_tumbling(spark):
