@@ -35,17 +35,9 @@ def best_airline(
 def best_airline_semi(
     quotes: DataFrame, window: str | None = None, slide: str | None = None
 ) -> DataFrame:
-    """``best_airline`` as a semi join of the averages with their minima.
-
-    The averages are written once, as both sides must hold the very same numbers. No
-    task ever sees a whole group, so this form also suits a route on which a great
-    many airlines share the lowest average.
-    """
+    """``best_airline`` as a semi join; it writes the averages first."""
     averages = materialize(rankable(airline_averages(quotes, window, slide)), "averages")
-    group = _group(averages)
-    lowest = averages.groupBy(*group).agg(F.min("avg_price").alias("avg_price"))
-    matched = averages.join(lowest, [*group, "avg_price"], "left_semi")
-    return matched.select(*averages.columns)
+    return cheapest_of_stored(averages).drop("price_rank")
 
 
 def cheapest(averages: DataFrame) -> DataFrame:
@@ -57,6 +49,20 @@ def cheapest(averages: DataFrame) -> DataFrame:
     return _ranked(rankable(averages)).where("price_rank = 1")
 
 
+def cheapest_of_stored(averages: DataFrame) -> DataFrame:
+    """``cheapest`` as a semi join of the averages with their minima.
+
+    No task sees a whole group, so this form suits a route on which a great many
+    airlines share the lowest average. Both sides must read the very same numbers:
+    the averages must come from stored rows, not be computed twice from quotes.
+    """
+    known = rankable(averages)
+    group = _group(known)
+    lowest = known.groupBy(*group).agg(F.min("avg_price").alias("avg_price"))
+    matched = known.join(lowest, [*group, "avg_price"], "left_semi")
+    return matched.select(*averages.columns, F.lit(1).alias("price_rank"))
+
+
 def rank_averages(averages: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """All rows with ``price_rank``.
 

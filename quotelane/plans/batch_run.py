@@ -13,7 +13,7 @@ from quotelane.operators.aggregates import (
     stats_from_cells,
 )
 from quotelane.operators.compare import compare_results
-from quotelane.operators.ranking import cheapest
+from quotelane.operators.ranking import cheapest_of_stored
 from quotelane.schema import ROUTE
 from quotelane.session import materialize
 from quotelane.sinks.columns import conform
@@ -34,7 +34,7 @@ def batch_reports(quotes: DataFrame) -> tuple[dict[str, DataFrame], float]:
     cells = materialize(fare_cells(quotes), "cells")
     reports = {
         "batch_route_stats": stats_from_cells(merge_cells(cells, ROUTE)),
-        "batch_best_airlines": cheapest(averages_from_cells(cells)),
+        "batch_best_airlines": cheapest_of_stored(averages_from_cells(cells)),
     }
     reports = {table: materialize(report, table) for table, report in reports.items()}
     return reports, time.monotonic() - started

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from quotelane.operators.aggregates import route_stats
-from quotelane.plans.batch_run import run_batch, run_comparison
+from quotelane.plans.batch_run import batch_reports, run_batch, run_comparison
 from quotelane.schema import TABLES
 from quotelane.session import materialize, scratch_root
 from quotelane.sinks.attempts import append_attempt, committed_rows, commits_table
@@ -103,6 +103,24 @@ def test_batch_run_then_comparison(spark, quotes, tmp_path):
     ]
 
 
+def test_batch_run_keeps_ties_and_leaves_out_the_unknown(spark, quotes):
+    df = quotes(
+        [
+            ("A", "B", "x", 100.0, T0),
+            ("A", "B", "y", 50.0, T0),
+            ("A", "B", "y", 150.0, T0),
+            ("A", "B", "z", None, T0),
+            (None, "B", "x", 1.0, T0),
+        ]
+    )
+    reports, _ = batch_reports(df)
+    assert rows_of(reports["batch_best_airlines"], "airline", "avg_price", "price_rank") == [
+        ("x", 100.0, 1),
+        ("y", 100.0, 1),
+    ]
+    assert rows_of(reports["batch_route_stats"], "origin", "flight_count") == [("A", 4), (None, 1)]
+
+
 def test_database_options():
     assert database_types("price_trends") == "origin VARCHAR(3), destination VARCHAR(3)"
     store = JdbcStore("jdbc:x", {"user": "u"})
