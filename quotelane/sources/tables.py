@@ -1,12 +1,6 @@
-"""Tables of quotes."""
+"""Tables of quotes for SQL users."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def normalize_quotes(df: DataFrame) -> DataFrame:
-    """Stored prices as doubles, so that batch and streaming results have one type."""
-    return df.withColumn("price_usd", F.col("price_usd").cast("double"))
 
 
 def register_view(df: DataFrame, name: str = "flight_prices") -> DataFrame:
