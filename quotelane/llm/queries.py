@@ -1,9 +1,26 @@
 """The registered queries: each operator over its whole table, with production parameters."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quotelane.llm import simhash
-from quotelane.llm.columns import table
+from quotelane.llm import pieces, simhash
+from quotelane.llm.columns import sha256_hex, table
+
+
+def op6_sentencepiece(
+    spark: SparkSession, sf_dir: str, model_file: str | None = None
+) -> DataFrame:
+    model_file = model_file or public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents")
+    ids = docs.select("doc_id", pieces.encoded(docs["text"], model_file).alias("ids"))
+    texts = ids.select("doc_id", "ids", pieces.decoded(F.col("ids"), model_file).alias("decoded"))
+    return texts.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        sha256_hex(F.col("decoded")).alias("decoded_sha256"),
+    )
 
 
 def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -11,6 +28,7 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_sentencepiece": op6_sentencepiece,
     "op10_simhash_anchors": op10_simhash_anchors,
 }
 
