@@ -4,10 +4,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import pieces, simhash
+from quotelane.llm import pieces, quality, simhash
 from quotelane.llm.columns import sha256_hex, table
 
 
+def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols",
+        "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+    )
+
+
 def op6_sentencepiece(
     spark: SparkSession, sf_dir: str, model_file: str | None = None
 ) -> DataFrame:
@@ -28,6 +35,7 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_divergence_rules": op3_divergence_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op10_simhash_anchors": op10_simhash_anchors,
 }
