@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import pieces, quality, simhash
+from quotelane.llm import pieces, quality, secrets, simhash
 from quotelane.llm.columns import sha256_hex, table
 
 
@@ -30,6 +30,10 @@ def op6_sentencepiece(
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.span_report(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_divergence_rules": op3_divergence_rules,
     "op6_sentencepiece": op6_sentencepiece,
+    "op8_secret_scan": op8_secret_scan,
     "op10_simhash_anchors": op10_simhash_anchors,
 }
 
