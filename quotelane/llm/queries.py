@@ -4,10 +4,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import pieces, quality, secrets, simhash
+from quotelane.llm import mixing, pieces, quality, secret_scan, simhash
 from quotelane.llm.columns import sha256_hex, table
 
 
+def op1_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(table(spark, sf_dir, "documents")).words_taken()
+
+
 def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols",
@@ -31,7 +35,7 @@ def op6_sentencepiece(
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.span_report(table(spark, sf_dir, "documents"))
+    return secret_scan.span_report(table(spark, sf_dir, "documents"))
 
 
 def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +43,7 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_multinomial_mix": op1_multinomial_mix,
     "op3_divergence_rules": op3_divergence_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_secret_scan": op8_secret_scan,
