@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import mixing, pieces, quality, secret_scan, simhash
+from quotelane.llm import chat, mixing, pieces, quality, secret_scan, sharding, simhash
 from quotelane.llm.columns import sha256_hex, table
 
 
@@ -19,6 +19,24 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.sharded(table(spark, sf_dir, "documents"))
+    return shards.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+#: A conversation whose texts hold control strings of a common template.
+PROBE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.formatted(turns.unionByName(probe)))
+
+
 def op6_sentencepiece(
     spark: SparkSession, sf_dir: str, model_file: str | None = None
 ) -> DataFrame:
@@ -45,6 +63,8 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_multinomial_mix": op1_multinomial_mix,
     "op3_divergence_rules": op3_divergence_rules,
+    "op4_hilbert_shards": op4_hilbert_shards,
+    "op5_chat_format": op5_chat_format,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_secret_scan": op8_secret_scan,
     "op10_simhash_anchors": op10_simhash_anchors,
