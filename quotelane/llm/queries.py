@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import chat, mixing, pieces, quality, secret_scan, sharding, simhash
+from quotelane.llm import chat, mixing, neighbours, pieces, quality, secret_scan, sharding, simhash
 from quotelane.llm.columns import sha256_hex, table
 
 
@@ -12,6 +12,10 @@ def op1_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents")).words_taken()
 
 
+def op2_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols",
@@ -62,6 +66,7 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_multinomial_mix": op1_multinomial_mix,
+    "op2_block_matrix_join": op2_block_matrix_join,
     "op3_divergence_rules": op3_divergence_rules,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_chat_format": op5_chat_format,
@@ -71,4 +76,21 @@ QUERIES = {
 }
 
 #: SQL for the same rows, where SQL can express them.
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_block_matrix_join": """
+        WITH v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
