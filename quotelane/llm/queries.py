@@ -4,7 +4,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import chat, mixing, neighbours, pieces, quality, secret_scan, sharding, simhash
+from quotelane.llm import (
+    chat,
+    mixing,
+    neighbours,
+    pieces,
+    pseudonyms,
+    quality,
+    ranking,
+    secret_scan,
+    sharding,
+    simhash,
+)
 from quotelane.llm.columns import sha256_hex, table
 
 
@@ -56,10 +67,18 @@ def op6_sentencepiece(
     )
 
 
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_report(table(spark, sf_dir, "documents"))
 
 
+def op9_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -71,7 +90,9 @@ QUERIES = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_chat_format": op5_chat_format,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
     "op8_secret_scan": op8_secret_scan,
+    "op9_pairwise_ranking": op9_pairwise_ranking,
     "op10_simhash_anchors": op10_simhash_anchors,
 }
 
