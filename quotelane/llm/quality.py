@@ -21,6 +21,7 @@ from quotelane.llm.columns import SPACES, unpacked
 from quotelane.session import materialize
 
 COMMON_WORDS = 32
+PARTS = 64
 LANGUAGES = 1000
 #: Words that a language must have in all, to be a reference of its own.
 REFERENCE_WORDS = 2000
@@ -74,8 +75,8 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     )
     # The counts per task come first, so a common word is one row of each task.
     counts = materialize(
-        measured.select("lang", F.explode(F.transform("words", F.lower)).alias("word"))
-        .groupBy("lang", "word").agg(F.count("*").alias("n"))
+        measured.select("lang", F.explode("words").alias("word"))
+        .groupBy("lang", F.lower("word").alias("word")).agg(F.count("*").alias("n"))
         .where("n > 1"),  # a word seen once is no common word
         "word-counts",
     )
@@ -98,6 +99,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
             "lang",
             F.array(*[share(c, "chars") for c in CLASSES]).alias("classes"),
             F.col("top.word").alias("words"),
+            F.array_max(F.transform("top", lambda t: F.octet_length(t["word"]))).alias("longest"),
             F.transform("top", lambda t: t["uses"] / F.greatest(F.col("n"), F.lit(1))).alias("shares"),
         ),
         "references",
@@ -105,10 +107,13 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
 
 
 def _commonest(counts: DataFrame) -> DataFrame:
-    """The commonest words of each language; Spark limits the ranks before the shuffle."""
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    ranked = counts.withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= COMMON_WORDS).drop("rank")
+    """The commonest words of each language, first of each of a few parts of its words."""
+    part = F.pmod(F.xxhash64("word"), F.lit(PARTS))
+    for keys in (["lang", part], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy(F.desc("n"), "word")
+        ranked = counts.withColumn("rank", F.row_number().over(order))
+        counts = ranked.where(F.col("rank") <= COMMON_WORDS).drop("rank")
+    return counts
 
 
 def _half(p: Column, q: Column) -> Column:
@@ -127,17 +132,18 @@ def _sum(values: Column) -> Column:
 def _with_repeats(rows: DataFrame) -> DataFrame:
     """Add ``n_repeat_words``: words in windows of three that occur twice or more.
 
-    Windows are sorted by two hashes (96 bits) within the row; equal neighbours repeat.
+    Most texts repeat no window, which one hash per window tells. In the others windows
+    are sorted by two hashes (96 bits) within the row; equal neighbours repeat.
     """
     at = lambda k: F.get("words", k)
-    window = lambda i: F.struct(
-        F.xxhash64(at(i), at(i + 1), at(i + 2)).alias("a"),
-        F.hash(at(i), at(i + 1), at(i + 2)).alias("b"),
-        i.alias("i"),
-    )
     n = F.size("words")
-    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window))
-    rows = rows.withColumn("windows", F.sort_array(windows))
+    numbers = F.sequence(F.lit(0), n - 3)
+    hashes = F.transform(numbers, lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2)))
+    rows = rows.withColumn("hashes", F.when(n >= 3, hashes))
+    window = lambda i: F.struct(
+        F.get("hashes", i).alias("a"), F.hash(at(i), at(i + 1), at(i + 2)).alias("b"), i.alias("i"))
+    some = F.size(F.array_distinct("hashes")) < F.size("hashes")
+    rows = rows.withColumn("windows", F.when(some, F.sort_array(F.transform(numbers, window))))
     same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"])
     near = lambda x, k: F.coalesce(same(x, F.get("windows", k)), F.lit(False))
     repeated = F.filter("windows", lambda x, k: near(x, k - 1) | near(x, k + 1))
@@ -146,7 +152,8 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
         "starts", lambda s, k: F.least(F.lit(3), F.coalesce(F.get("starts", k + 1) - s, F.lit(3)))
     )
     total = F.aggregate(covered, F.lit(0), lambda a, x: a + x)
-    return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long"))
+    rows = rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long"))
+    return rows.drop("hashes", "windows", "starts")
 
 
 def judged(
@@ -158,7 +165,7 @@ def judged(
     """
     refs = references(docs, text, lang) if refs is None else refs
     refs = refs.select(
-        F.col("lang").alias("ref_lang"), F.struct("classes", "words", "shares").alias("ref")
+        F.col("lang").alias("ref_lang"), F.struct("classes", "words", "shares", "longest").alias("ref")
     )
     rows = _measured(docs, text, lang)
     own = F.broadcast(refs.where(F.col("ref_lang").isNotNull()))
@@ -167,15 +174,17 @@ def judged(
     rows = rows.join(own, rows["lang"] == own["ref_lang"], "left")
     rows = rows.withColumn("always", F.lit(True)).join(pool, "always", "left")
     rows = rows.withColumn("ref", F.coalesce("ref", "pool")).drop("ref_lang", "pool", "always")
-    rows = _with_repeats(rows).drop("windows", "starts")
+    rows = _with_repeats(rows)
 
     share = lambda c: F.col(c) / F.greatest(F.col("chars"), F.lit(1))
     classes = sum(
         (_divergence(share(c), F.col("ref.classes")[k]) for k, c in enumerate(CLASSES)), F.lit(0.0)
     )
     # The common words of the text in order, and where each of them begins.
-    rows = rows.withColumn("hits", F.sort_array(F.filter(
-        F.transform("words", F.lower), lambda w: F.array_contains(F.col("ref.words"), w))))
+    common_word = lambda w: (
+        (F.octet_length(w) <= F.col("ref.longest")) & F.array_contains(F.col("ref.words"), F.lower(w)))
+    rows = rows.withColumn(
+        "hits", F.sort_array(F.transform(F.filter("words", common_word), F.lower)))
     rows = rows.withColumn("seen", F.array_distinct("hits"))
     rows = rows.withColumn("starts", F.transform("seen", lambda w: F.array_position("hits", w)))
     n = F.size("words")
