@@ -239,7 +239,7 @@ QUERIES: dict[str, Query] = {
     "airline_averages_windowed": on_events(lambda q: ql.airline_averages(q, EVENT_WINDOW)),
     "price_rank": on_events(ql.price_rank),
     "price_rank_windowed": on_events(lambda q: ql.price_rank(q, EVENT_WINDOW)),
-    "price_rank_in_slices": on_events(lambda q: ql.price_rank(q, EVENT_WINDOW, one_task_rows=0)),
+    "price_rank_in_slices": on_events(lambda q: ql.price_rank(q, EVENT_WINDOW, slices=8)),
     "best_airline": on_events(ql.best_airline),
     "best_airline_windowed": on_events(lambda q: ql.best_airline(q, EVENT_WINDOW)),
     "best_airline_sliding": on_events(lambda q: ql.best_airline(q, EVENT_WINDOW, EVENT_SLIDE)),
@@ -288,7 +288,7 @@ QUERIES: dict[str, Query] = {
     "star_route_stats_sliding": on_star(lambda q: ql.route_stats(q, STAR_WINDOW, STAR_SLIDE)),
     "star_airline_averages": on_star(ql.airline_averages),
     "star_price_rank": on_star(ql.price_rank),
-    "star_price_rank_in_slices": on_star(lambda q: ql.price_rank(q, one_task_rows=0)),
+    "star_price_rank_in_slices": on_star(lambda q: ql.price_rank(q, slices=8)),
     "star_best_airline": on_star(ql.best_airline),
     "star_best_airline_windowed": on_star(lambda q: ql.best_airline(q, STAR_WINDOW)),
     "star_best_airline_semi": on_star(lambda q: ql.best_airline_semi(q, STAR_WINDOW)),

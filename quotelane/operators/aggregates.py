@@ -7,10 +7,14 @@ computed from the cells of many groups without reading the quotes again.
 Spark aggregates before it shuffles, so a group that holds a large share of all
 quotes costs one row per task in the shuffle.
 
-Prices are summed as whole cents, plus a remainder that is 0 for prices in cents.
-Sums of doubles depend on the order in which tasks finish; sums of whole cents do
-not. So averages, and with them ranks and ties, are the same in every run, in a
-stream and in a batch. It costs no more than summing doubles, unlike decimals.
+Prices are summed exactly, as whole numbers in four limbs: millions, thousands, cents,
+and ten-billionths of what is left of a cent. Sums of doubles depend on the order in which
+tasks finish; sums of whole numbers do not. So averages, and with them ranks and ties, are
+the same in every run, in a stream and in a batch, for prices of any size. Each limb has
+its own sum, which no feasible number of quotes overflows: a limb below the millions adds
+less than a hundred thousand per quote, 9e13 quotes at least. What a double cannot hold in
+these limbs (fractions below a ten-billionth) is below the precision of a stored average.
+Prices that are not finite, or from 9e24 on, are summed apart, as doubles.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -21,10 +25,9 @@ from quotelane.functions.windows import pane
 from quotelane.schema import CARRIER, ROUTE
 
 BOUNDS = ["window_start", "window_end"]
-MEASURES = ["min_price", "max_price", "sum_cents", "sum_rest", "priced_count", "flight_count"]
-
-# Prices from here on are summed as doubles, to keep the sum of cents from overflowing.
-CENTS_BELOW = 1e6
+LIMBS = ["sum_millions", "sum_thousands", "sum_cents", "sum_fine"]
+SUMS = [*LIMBS, "sum_rest", "priced_count", "flight_count"]
+MEASURES = ["min_price", "max_price", *SUMS]
 
 
 def window_bounds(df: DataFrame) -> list[str]:
@@ -51,18 +54,33 @@ def fare_cells(
     if window:
         groups.append(F.window("timestamp", window, slide).alias("window"))
     price = F.col("price_usd").cast("double")
-    cents = F.when(F.abs(price) < CENTS_BELOW, F.rint(price * 100)).otherwise(0.0).cast("bigint")
+    limbs, rest = price_limbs(price)
     cells = quotes.groupBy(*groups).agg(
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),
-        F.sum(cents).alias("sum_cents"),
-        F.sum(price - cents / 100.0).alias("sum_rest"),
+        *[F.sum(limb).alias(name) for name, limb in zip(LIMBS, limbs)],
+        F.sum(rest).alias("sum_rest"),
         F.count(price).alias("priced_count"),
         F.count("*").alias("flight_count"),
     )
     return _flatten(cells, keys)
 
 
+def price_limbs(price: Column) -> tuple[list[Column], Column]:
+    """A price as whole millions, thousands, cents and ten-billionths, and what does not
+    fit them: the price itself where its millions are no number of 64 bits, else 0."""
+    fits = F.abs(price) < 9e24  # false for infinities and NaN
+    known = F.when(fits, price).otherwise(0.0)
+    millions = F.floor(known / 1e6)
+    below = known - millions * 1e6
+    thousands = F.floor(below / 1e3)
+    cents = F.rint((below - thousands * 1e3) * 100)
+    fine = F.rint((known - (millions * 1e6 + thousands * 1e3 + cents / 100.0)) * 1e10)
+    # In prices of many digits the last limb is rounding noise, in the largest too large.
+    fine = F.coalesce(fine.try_cast("bigint"), F.lit(0))
+    return [millions, thousands, cents.cast("bigint"), fine], F.when(fits, 0.0).otherwise(price)
+
+
 def merge_cells(
     cells: DataFrame,
     keys: list[str],
@@ -78,10 +96,7 @@ def merge_cells(
     merged = cells.groupBy(*groups).agg(
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
-        F.sum("sum_cents").alias("sum_cents"),
-        F.sum("sum_rest").alias("sum_rest"),
-        F.sum("priced_count").alias("priced_count"),
-        F.sum("flight_count").alias("flight_count"),
+        *[F.sum(name).alias(name) for name in SUMS],
     )
     return _flatten(merged, keys)
 
@@ -89,10 +104,14 @@ def merge_cells(
 def average_price() -> Column:
     """Mean of the known prices of a cell, NULL if there are none.
 
-    The cents are divided once, so equal means are equal doubles.
+    The limbs are put together as one decimal and divided once, so equal means are equal
+    doubles.
     """
     priced = F.col("priced_count")
-    mean = ratio(F.col("sum_cents").cast("double"), 100.0 * priced) + ratio(F.col("sum_rest"), priced)
+    limb = lambda name: F.col(name).cast("decimal(20,0)")
+    cents = limb("sum_millions") * 100_000_000 + limb("sum_thousands") * 100_000 + limb("sum_cents")
+    total = cents.cast("double") + F.col("sum_fine") / 1e8
+    mean = ratio(total, 100.0 * priced) + ratio(F.col("sum_rest"), priced)
     return mean.alias("avg_price")
 
 

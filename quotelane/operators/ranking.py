@@ -11,18 +11,15 @@ from quotelane.operators.aggregates import airline_averages, window_bounds
 from quotelane.schema import ROUTE
 from quotelane.session import materialize
 
-# A group up to this many airlines is sorted in one task.
-ONE_TASK_ROWS = 1_000_000
-
 
 def price_rank(
     quotes: DataFrame,
     window: str | None = None,
     slide: str | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
-    """Airline averages with ``price_rank``."""
-    return rank_averages(airline_averages(quotes, window, slide), one_task_rows)
+    """Airline averages with ``price_rank``; they are written when this is called."""
+    return rank_averages(airline_averages(quotes, window, slide), slices)
 
 
 def best_airline(
@@ -35,26 +32,18 @@ def best_airline(
 def best_airline_semi(
     quotes: DataFrame, window: str | None = None, slide: str | None = None
 ) -> DataFrame:
-    """``best_airline`` as a semi join; it writes the averages first."""
+    """``best_airline`` from averages that are written when this is called, for many readers."""
     averages = materialize(rankable(airline_averages(quotes, window, slide)), "averages")
-    return cheapest_of_stored(averages).drop("price_rank")
+    return cheapest(averages).drop("price_rank")
 
 
 def cheapest(averages: DataFrame) -> DataFrame:
-    """The rows of rank 1, with ``price_rank``.
+    """The rows of rank 1, with ``price_rank``: a semi join of averages with their minima.
 
-    Spark applies the limit to each task's rows before the shuffle, so a task sends
-    only its own cheapest airlines of a route.
-    """
-    return _ranked(rankable(averages)).where("price_rank = 1")
-
-
-def cheapest_of_stored(averages: DataFrame) -> DataFrame:
-    """``cheapest`` as a semi join of the averages with their minima.
-
-    No task sees a whole group, so this form suits a route on which a great many
-    airlines share the lowest average. Both sides must read the very same numbers:
-    the averages must come from stored rows, not be computed twice from quotes.
+    The minima are aggregated before the shuffle and no task sees a whole group, so a
+    route on which a great many airlines share the lowest average is no bottleneck. Sums
+    are exact, so both sides see the same numbers even if they are computed twice. (Sums
+    of prices that are not finite or from 9e24 on are not; store such averages first.)
     """
     known = rankable(averages)
     group = _group(known)
@@ -63,20 +52,6 @@ def cheapest_of_stored(averages: DataFrame) -> DataFrame:
     return matched.select(*averages.columns, F.lit(1).alias("price_rank"))
 
 
-def rank_averages(averages: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """All rows with ``price_rank``.
-
-    The averages are written once, then the largest group is measured: groups that
-    fit in a task are sorted by a window function, larger ones by ``_rank_in_slices``.
-    """
-    stored = materialize(rankable(averages), "averages")
-    sizes = stored.groupBy(*_group(stored)).count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    if largest <= one_task_rows:
-        return _ranked(stored)
-    return _rank_in_slices(stored)
-
-
 def rankable(averages: DataFrame) -> DataFrame:
     return averages.where(" AND ".join(f"{name} IS NOT NULL" for name in (*ROUTE, "avg_price")))
 
@@ -85,24 +60,22 @@ def _group(averages: DataFrame) -> list[str]:
     return ROUTE + window_bounds(averages)
 
 
-def _ranked(averages: DataFrame) -> DataFrame:
-    order = Window.partitionBy(*_group(averages)).orderBy("avg_price")
-    return averages.withColumn("price_rank", F.rank().over(order))
-
-
-def _rank_in_slices(stored: DataFrame) -> DataFrame:
-    """Rank without bringing a group into one task.
+def rank_averages(averages: DataFrame, slices: int | None = None) -> DataFrame:
+    """All rows with ``price_rank``, without bringing a group into one task.
 
     A rank is one more than the number of rows with a lower average. Equal averages
     are first counted as one level, which removes the ties. The levels are range
     partitioned in rank order, so a slice needs only the row count of the same
     group's earlier slices. A boundary between two slices cuts at most one group, so
-    there are fewer such counts than slices and they can be broadcast.
+    there are fewer such counts than slices. ``slices`` is their number; by default
+    Spark chooses it.
     """
+    stored = materialize(rankable(averages), "averages")
     group = _group(stored)
     levels = stored.groupBy(*group, "avg_price").agg(F.count("*").alias("rows"))
     sliced = materialize(
-        levels.repartitionByRange(*group, "avg_price").withColumn("slice", F.spark_partition_id()),
+        levels.repartitionByRange(*([slices] if slices else []), *group, "avg_price")
+        .withColumn("slice", F.spark_partition_id()),
         "levels",
     )
     earlier = (Window.unboundedPreceding, -1)
@@ -117,7 +90,7 @@ def _rank_in_slices(stored: DataFrame) -> DataFrame:
     below = F.coalesce(F.sum("rows").over(in_slice), F.lit(0))
     ranked = (
         sliced.withColumn("below", below)
-        .join(F.broadcast(carried), [*group, "slice"], "left")
+        .join(carried, [*group, "slice"], "left")
         .withColumn("price_rank", (F.col("below") + F.coalesce("carried", F.lit(0)) + 1).cast("int"))
     )
     joined = stored.join(ranked.select(*group, "avg_price", "price_rank"), [*group, "avg_price"])
