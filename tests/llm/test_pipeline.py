@@ -1,0 +1,55 @@
+import hashlib
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from quotelane.llm.queries import ORACLE, QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_registration():
+    names = contract.queries()
+    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert set(QUERIES) <= set(names) and "pipeline" in names
+    assert set(ORACLE) <= set(contract.oracle_sql())
+
+
+def test_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows, ids = {}, {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, FOLDER)
+        assert name == "tokens" or out.columns == docs.columns
+        rows[name] = out.collect()
+        ids[name] = {r["doc_id"] for r in rows[name]}
+        docs = spark.createDataFrame(rows[name], out.schema)
+    kept = contract.queries()["op3_divergence_rules"](spark, FOLDER).where("kept").collect()
+    assert ids["quality_rules"] == {r["doc_id"] for r in kept}
+    texts = [r["text"] for r in rows["near_duplicates"]]
+    assert len(set(texts)) == len(texts) < len(rows["quality_rules"])
+    assert set(texts) == {r["text"] for r in rows["quality_rules"]} or ids["near_duplicates"] < ids["quality_rules"]
+    assert ids["secrets"] == ids["near_duplicates"] and ids["source_mix"] <= ids["secrets"]
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(corpus_pipeline.MODEL))
+    mixed = sorted(library.encode(r["text"]) for r in rows["source_mix"])
+    assert sorted(r["ids"] for r in rows["tokens"]) == mixed
+    assert all(r["restored"] and r["n_tokens"] == len(r["ids"]) for r in rows["tokens"])
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_empty_tables(spark, name):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("false")
+    assert dict(corpus_pipeline.STAGES)[name](spark, docs, FOLDER).collect() == []
+
+
+def test_token_query_equals_the_library(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(corpus_pipeline.MODEL))
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    for r in QUERIES["op6_sentencepiece"](spark, FOLDER).collect():
+        ids = library.encode(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
