@@ -24,6 +24,24 @@ def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_quotes(table(spark, sf_dir, "events"))
 
 
+def harsh(quotes: DataFrame) -> DataFrame:
+    """The same quotes with very large and very fine prices, and with unknown values: a
+    price for every eleventh second and for one airline on one route, a route for some."""
+    second = F.unix_seconds(F.col("timestamp").cast("timestamp")) % 11
+    price = (
+        F.when((second == 0) | ((F.col("airline") == "C3") & (F.col("destination") == "G1")), None)
+        .when(F.col("airline") == "C0", F.col("price_usd") * 1e7)
+        .when(F.col("airline") == "C1", F.col("price_usd") / 1000)
+        .otherwise(F.col("price_usd"))
+    )
+    origin = F.when(second == 5, None).otherwise(F.col("origin"))
+    return quotes.withColumns({"price_usd": price, "origin": origin})
+
+
+def harsh_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harsh(event_quotes(spark, sf_dir))
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same quotes as a file stream."""
     schema = table(spark, sf_dir, "events").schema

@@ -7,6 +7,18 @@ EVENTS = """q AS (
          value AS price_usd, ts AS "timestamp"
   FROM events)"""
 
+# Unknown and extreme values, by the rule of the mapping.
+HARSH = """q AS (
+  SELECT CASE WHEN second <> 5 THEN origin END AS origin, destination, airline, airline_name,
+         CASE WHEN second = 0 OR (airline = 'C3' AND destination = 'G1') THEN NULL
+              WHEN airline = 'C0' THEN price_usd * 1e7
+              WHEN airline = 'C1' THEN price_usd / 1000 ELSE price_usd END AS price_usd, "timestamp"
+  FROM (SELECT event_type AS origin, concat('G', CAST(user_id % 3 AS VARCHAR)) AS destination,
+               concat('C', CAST(user_id % 7 AS VARCHAR)) AS airline,
+               concat('Carrier ', CAST(user_id % 7 AS VARCHAR)) AS airline_name,
+               value AS price_usd, ts AS "timestamp", CAST(floor(epoch(ts)) AS BIGINT) % 11 AS second
+        FROM events))"""
+
 STAR = """q AS (
   SELECT sr.r_name AS origin, cr.r_name AS destination,
          concat('S', CAST(s_suppkey AS VARCHAR)) AS airline, s_name AS airline_name,
@@ -40,6 +52,15 @@ BOUNDS = "window_start, window_end"
 MEAN = "avg(CAST(price_usd AS DECIMAL(18,2)))"
 
 
+# Of prices with fractions of a cent.
+FINE_MEAN = "avg(CAST(price_usd AS DECIMAL(30,10)))"
+
+
+def harshly(sql: str) -> str:
+    """With fine averages, rounded as far as averages of billions are exact."""
+    return sql.replace(MEAN, FINE_MEAN).replace(", 6) AS avg_price", ", 3) AS avg_price")
+
+
 def windowed(source) -> str:
     """CTE ``w``: the quotes, once per window that holds them."""
     quotes, window, slide, copies = source
@@ -150,7 +171,8 @@ def compared_best(source, query_type: str, as_of: str, within: str) -> str:
 
 
 def untimed(comparison: str) -> str:
-    return f"SELECT * EXCLUDE (batch_execution_time) FROM ({comparison})"
+    columns = "batch_execution_time, streaming_execution_time"
+    return f"SELECT * EXCLUDE ({columns}), TRUE AS timed FROM ({comparison})"
 
 
 LATEST_METRICS = f"""WITH {METRICS}
@@ -195,6 +217,17 @@ ORACLE: dict[str, str] = {
     "registered_view": f"""WITH {EVENTS}
 SELECT origin, destination, airline, max(price_usd) AS max_price, count(*) AS flight_count
 FROM q GROUP BY origin, destination, airline""",
+    "registered_view_tuples": f"""WITH {EVENTS}, a AS (
+  SELECT origin, destination, airline, round({MEAN}, 6) AS avg_price, count(*) AS flight_count
+  FROM q GROUP BY ALL)
+SELECT * FROM a QUALIFY avg_price = min(avg_price) OVER (PARTITION BY origin, destination)""",
+    "harsh_route_stats": harshly(stats(HARSH)),
+    "harsh_route_stats_sliding": harshly(stats((HARSH, "30 minutes", "10 minutes", 3))),
+    "harsh_airline_averages": f"""WITH {HARSH}
+SELECT origin, destination, airline, airline_name, round({FINE_MEAN}, 3) AS avg_price,
+       count(*) AS flight_count FROM q GROUP BY ALL""",
+    "harsh_price_rank": harshly(ranks(HARSH, where="WHERE origin IS NOT NULL")),
+    "harsh_archive": harshly(stats(HARSH)),
     "trend_listing": listing(E_TUMBLING),
     "trend_series": series(E_TUMBLING),
     "best_airline_listing": ranks(
@@ -226,11 +259,11 @@ SELECT CASE WHEN airline NOT IN ('C0', 'C1', 'C4') THEN origin END AS origin,
        CASE WHEN airline NOT IN ('C0', 'C1', 'C3') THEN "timestamp" END AS "timestamp",
        {TOPIC} FROM q""",
     "raw_archive": f"""WITH {EVENTS}
-SELECT origin, destination, airline, airline_name, CAST(price_usd AS DECIMAL(10,2)) AS price_usd,
+SELECT origin, destination, airline, airline_name, price_usd,
        "timestamp", {ROUTE_ID}, {TOPIC}, CAST("timestamp" AS DATE) AS date FROM q""",
     "batch_stored": f"""WITH {EVENTS}
-SELECT origin, destination, CAST(min(price_usd) AS DECIMAL(10,2)) AS min_price,
-       CAST(max(price_usd) AS DECIMAL(10,2)) AS max_price, count(*) AS flight_count,
+SELECT origin, destination, min(price_usd) AS min_price,
+       max(price_usd) AS max_price, count(*) AS flight_count,
        TRUE AS timed, TRUE AS stamped FROM q GROUP BY origin, destination""",
     "stream_route_stats": stats(E_TUMBLING),
     "stream_best_airline": best_ranked(E_TUMBLING),
@@ -241,7 +274,7 @@ SELECT origin, destination, CAST(min(price_usd) AS DECIMAL(10,2)) AS min_price,
     "stream_price_trend_append": trend(E_TUMBLING, f"WHERE {CLOSED}"),
     "stream_best_airline_sliding_append": best_ranked(E_SLIDING, f"AND {CLOSED}"),
     "stream_raw_archive": f"""WITH {EVENTS}
-SELECT origin, destination, airline, airline_name, CAST(price_usd AS DECIMAL(10,2)) AS price_usd,
+SELECT origin, destination, airline, airline_name, price_usd,
        "timestamp", {TOPIC}, "timestamp" + INTERVAL '1 second' AS kafka_timestamp FROM q""",
     "stream_cells_route_stats": stats(E_TUMBLING),
     "stream_cells_best_airline": best_ranked(E_TUMBLING),
@@ -250,6 +283,11 @@ SELECT origin, destination, airline, airline_name, CAST(price_usd AS DECIMAL(10,
         untimed(compare(E_TUMBLING, query_type, "2000-01-01", "1 hour"))
         for compare, query_type in ((compared_stats, "route_stats"), (compared_best, "best_airlines"))
     ),
+    "batch_without_stream": f"""WITH {EVENTS}
+SELECT query_type, CAST(0 AS BIGINT) AS streaming_result_count, n AS batch_result_count,
+       CAST(NULL AS DOUBLE) AS streaming_avg_price, CAST(0 AS DOUBLE) AS price_diff_percentage
+FROM (SELECT 'route_stats' AS query_type, count(*) AS n FROM (SELECT DISTINCT origin, destination FROM q)
+      UNION ALL SELECT 'best_airlines', count(*) FROM ({best(EVENTS)}))""",
     "star_route_stats": stats(STAR),
     "star_route_stats_windowed": stats(T_TUMBLING),
     "star_route_stats_sliding": stats(T_SLIDING),

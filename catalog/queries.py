@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import quotelane as ql
-from catalog.mapping import event_metrics, event_quotes, event_stream, star_quotes
+from catalog.mapping import (
+    event_metrics,
+    event_quotes,
+    event_stream,
+    harsh,
+    harsh_quotes,
+    star_quotes,
+)
 from quotelane.functions.codec import decode_quotes, encode_quotes, flatten_metadata
 from quotelane.operators.aggregates import averages_from_cells, stats_from_cells
 from quotelane.operators.ranking import cheapest
-from quotelane.plans.batch_run import COMPARED, batch_reports, run_batch
+from quotelane.plans.batch_run import COMPARED, batch_reports, run_batch, run_comparison
 from quotelane.schema import QUOTE, ROUTE
 from quotelane.session import scratch_path
 from quotelane.sinks.columns import conform
@@ -161,10 +168,6 @@ def batch_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _unchanged(df: DataFrame, table: str) -> DataFrame:
-    return df
-
-
 def streamed(table: str, slide: str | None = None, watermark: str | None = None) -> Query:
     """Run the stream to its end, then read one of the stored reports."""
 
@@ -178,10 +181,10 @@ def streamed(table: str, slide: str | None = None, watermark: str | None = None)
             slide,
             watermark,
             {"availableNow": True},
-            _unchanged,
+            tables=[table],
         )
         query.awaitTermination()
-        return presented(store.read(spark, table))
+        return presented(store.read(spark, table).drop("created_at"))
 
     return run
 
@@ -198,11 +201,59 @@ def stream_against_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = {"availableNow": True}
     runs.start_reports(stream, store, checkpoint, EVENT_WINDOW, trigger=now, fit=stamped).awaitTermination()
     run_batch(event_quotes(spark, sf_dir), store, stamped)
+    seconds = runs.stream_seconds(spark, store)
     first, second = (
-        ql.compare_results(store.read(spark, streaming), store.read(spark, batch), query_type, 1800)
+        ql.compare_results(store.read(spark, streaming), store.read(spark, batch), query_type, seconds)
         for query_type, streaming, batch in COMPARED
     )
-    return presented(first.unionAll(second).drop("batch_execution_time"))
+    timed = (F.col("streaming_execution_time") > 0).alias("timed")
+    rows = first.unionAll(second)
+    kept = [c for c in rows.columns if not c.endswith("_execution_time")]
+    return presented(rows.select(*kept, timed))
+
+
+def batch_without_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch run and a comparison before any streamed result was stored, as stored."""
+    store = ParquetStore(scratch_path(spark, "fresh"))
+    run_batch(event_quotes(spark, sf_dir), store)
+    run_comparison(spark, store, None)
+    metrics = store.read(spark, "comparison_metrics")
+    return presented(ql.latest_metrics(metrics).select(
+        "query_type", "streaming_result_count", "batch_result_count", "streaming_avg_price",
+        "price_diff_percentage"))
+
+
+def harsh_reports(report: Report) -> Query:
+    """Prices of any size, fractions of a cent, unknown prices, averages and routes."""
+    return lambda spark, sf_dir: coarsely(report(harsh_quotes(spark, sf_dir)))
+
+
+def harsh_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Such quotes streamed into the archive, then reports over the archive."""
+    store = ParquetStore(scratch_path(spark, "stream"))
+    quotes = harsh(event_stream(spark, sf_dir))
+    now = {"availableNow": True}
+    runs.start_archive(quotes, store, scratch_path(spark, "checkpoint"), now).awaitTermination()
+    return coarsely(ql.route_stats(store.read(spark, "raw_flight_prices")))
+
+
+def coarsely(df: DataFrame) -> DataFrame:
+    """Averages of prices up to billions have no six exact decimals."""
+    return presented(df).withColumn("avg_price", F.round("avg_price", 3))
+
+
+def best_by_tuples(quotes: DataFrame) -> DataFrame:
+    """The cheapest airlines as a SQL user writes them, over the registered view."""
+    view = register_view(quotes, "flight_prices")
+    return view.sparkSession.sql("""
+        WITH averages AS (
+            SELECT origin, destination, airline, avg(cast(price_usd AS decimal(18,2))) AS avg_price,
+                count(*) AS flight_count
+            FROM flight_prices GROUP BY origin, destination, airline)
+        SELECT origin, destination, airline, cast(avg_price AS double) AS avg_price, flight_count FROM averages
+        WHERE (origin, destination, avg_price) IN (
+            SELECT origin, destination, min(avg_price) FROM averages GROUP BY origin, destination)
+    """)
 
 
 def streamed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,6 +300,13 @@ QUERIES: dict[str, Query] = {
     "price_trend_sliding": on_events(lambda q: ql.price_trend(q, EVENT_WINDOW, EVENT_SLIDE)),
     "price_trend_daily": on_events(ql.price_trend_daily),
     "registered_view": on_events(best_by_sql),
+    "registered_view_tuples": on_events(best_by_tuples),
+    # Prices of any size; unknown prices, averages and routes.
+    "harsh_route_stats": harsh_reports(ql.route_stats),
+    "harsh_route_stats_sliding": harsh_reports(lambda q: ql.route_stats(q, EVENT_WINDOW, EVENT_SLIDE)),
+    "harsh_airline_averages": harsh_reports(ql.airline_averages),
+    "harsh_price_rank": harsh_reports(lambda q: ql.price_rank(q, slices=8)),
+    "harsh_archive": harsh_archive,
     # Listings and comparisons.
     "trend_listing": on_events(lambda q: ql.trend_listing(ql.price_trend(q, EVENT_WINDOW))),
     "trend_series": on_events(lambda q: ql.trend_series(ql.price_trend(q, EVENT_WINDOW))),
@@ -282,6 +340,7 @@ QUERIES: dict[str, Query] = {
     "stream_cells_route_stats": streamed_cells(lambda c: stats_from_cells(ql.merge_cells(c, ROUTE))),
     "stream_cells_best_airline": streamed_cells(lambda c: cheapest(averages_from_cells(c))),
     "stream_batch_comparison": stream_against_batch,
+    "batch_without_stream": batch_without_stream,
     # Reports on the star schema.
     "star_route_stats": on_star(ql.route_stats),
     "star_route_stats_windowed": on_star(lambda q: ql.route_stats(q, STAR_WINDOW)),

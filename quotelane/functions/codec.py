@@ -40,10 +40,13 @@ def message_metadata(published_at: Column | None = None) -> Column:
     )
 
 
-def encode_quotes(quotes: DataFrame, published_at: Column | None = None) -> DataFrame:
+def encode_quotes(
+    quotes: DataFrame, published_at: Column | None = None, other_topic: str | None = None
+) -> DataFrame:
     """Quotes to messages with ``key``, ``value`` and ``topic``.
 
-    The key is the airline, so that one airline's quotes of a route stay in order.
+    The key is the airline, so that one airline's quotes of a route stay in order. A quote
+    whose route has an unknown end has the topic ``other_topic``, NULL if none is given.
     """
     fields = [f.name for f in QUOTE_FULL.fields if f.name in quotes.columns]
     fields = [name for name in fields if name != "_metadata"]
@@ -52,5 +55,5 @@ def encode_quotes(quotes: DataFrame, published_at: Column | None = None) -> Data
     return quotes.select(
         F.coalesce(F.col("airline"), F.lit(UNKNOWN_KEY)).alias("key"),
         F.to_json(body, options).alias("value"),
-        route_topic().alias("topic"),
+        F.coalesce(route_topic(), F.lit(other_topic)).alias("topic"),
     )

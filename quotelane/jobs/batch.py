@@ -7,7 +7,7 @@ from quotelane.session import build_session
 
 def main(arguments: list[str] | None = None) -> None:
     options = parser(__doc__)
-    options.add_argument("--stream-seconds", type=float, default=1800.0)
+    options.add_argument("--stream-seconds", type=float, help="default: what the stream has stored")
     options.add_argument("--within", default="1 hour", help="compare results stored since then")
     split = options.add_argument_group("parallel scan of an archive in a database")
     split.add_argument("--column", help="column to split by")

@@ -5,8 +5,10 @@ import argparse
 from quotelane.sinks.stores import JdbcStore, ParquetStore
 
 
-def parser(description: str) -> argparse.ArgumentParser:
+def parser(description: str, store: bool = True) -> argparse.ArgumentParser:
     options = argparse.ArgumentParser(description=description)
+    if not store:
+        return options
     options.add_argument("--store", required=True, help="folder of the tables, or a jdbc: URL")
     add_pairs(options, "--property", "JDBC connection property")
     return options

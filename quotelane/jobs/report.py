@@ -1,4 +1,5 @@
-"""Print the stored trends, cheapest airlines and comparisons."""
+"""Print the first lines of the stored trends, cheapest airlines and comparisons, and write
+the whole reports where a folder is given."""
 
 from quotelane.jobs.options import open_store, parser
 from quotelane.operators.compare import comparison_summary, latest_metrics
@@ -9,22 +10,26 @@ from quotelane.session import build_session
 def main(arguments: list[str] | None = None) -> None:
     options = parser(__doc__)
     options.add_argument("--rows", type=int, default=50, help="lines printed per report")
+    options.add_argument("--output", help="folder for the whole reports, as Parquet")
     given = options.parse_args(arguments)
 
     spark = build_session("quotelane-report")
     store = open_store(given)
-    best = best_airline_listing(store.read(spark, "best_airlines"))
+    stored = store.read(spark, "best_airlines").where("price_rank = 1")
     metrics = latest_metrics(store.read(spark, "comparison_metrics"))
     reports = {
         "Price trends": trend_series(store.read(spark, "price_trends")),
-        "Cheapest airlines": best,
-        "Latest per route and airline": latest_best(best),
+        "Cheapest airlines": best_airline_listing(stored),
+        "Latest per route and airline": latest_best(stored),
         "Latest comparisons": metrics,
         "Comparison summary": comparison_summary(metrics),
     }
     for title, report in reports.items():
         print(title)
         report.show(given.rows, truncate=False)
+        if given.output:
+            folder = title.lower().replace(" ", "_")
+            report.write.mode("overwrite").parquet(f"{given.output.rstrip('/')}/{folder}")
 
 
 if __name__ == "__main__":

@@ -7,14 +7,13 @@ computed from the cells of many groups without reading the quotes again.
 Spark aggregates before it shuffles, so a group that holds a large share of all
 quotes costs one row per task in the shuffle.
 
-Prices are summed exactly, as whole numbers in four limbs: millions, thousands, cents,
-and ten-billionths of what is left of a cent. Sums of doubles depend on the order in which
+Prices are summed exactly, as whole numbers in five limbs: millions, thousands, cents, and
+what is left of a cent in units of 1e-10 and 1e-18. Sums of doubles depend on the order in which
 tasks finish; sums of whole numbers do not. So averages, and with them ranks and ties, are
 the same in every run, in a stream and in a batch, for prices of any size. Each limb has
-its own sum, which no feasible number of quotes overflows: a limb below the millions adds
-less than a hundred thousand per quote, 9e13 quotes at least. What a double cannot hold in
-these limbs (fractions below a ten-billionth) is below the precision of a stored average.
-Prices that are not finite, or from 9e24 on, are summed apart, as doubles.
+its own sum: thousands and cents add at most a hundred thousand per quote, so 9e13 quotes
+fit; the two finest limbs are 0 for prices in cents and fit 1e11 quotes of others. Fractions
+below 1e-18 are dropped, the same for every order. Prices that are not finite, or from 9e24 on, are summed apart, as doubles.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +24,7 @@ from quotelane.functions.windows import pane
 from quotelane.schema import CARRIER, ROUTE
 
 BOUNDS = ["window_start", "window_end"]
-LIMBS = ["sum_millions", "sum_thousands", "sum_cents", "sum_fine"]
+LIMBS = ["sum_millions", "sum_thousands", "sum_cents", "sum_fine", "sum_finest"]
 SUMS = [*LIMBS, "sum_rest", "priced_count", "flight_count"]
 MEASURES = ["min_price", "max_price", *SUMS]
 
@@ -43,19 +42,29 @@ def fare_cells(
 ) -> DataFrame:
     """Cells per ``keys``, and per event-time window where one is given.
 
-    Overlapping windows are built in two steps in batch: each quote is counted once
-    in a short tumbling pane, then the panes are copied into the windows they belong
-    to. The direct way would copy every quote (window / slide) times.
+    Overlapping windows are built in two steps: each quote is counted once in a short
+    tumbling pane, then the panes are copied into the windows they belong to. The direct
+    way would copy every quote (window / slide) times. (In a stream the two steps need
+    append mode; the caller asks for panes in other modes.)
     """
-    panes = pane(window, slide) if window and not quotes.isStreaming else None
+    panes = pane(window, slide) if window else None
+    if panes and quotes.isStreaming:
+        # Panes keep their event time, so that their watermark closes the windows.
+        tiles = _count_quotes(quotes, [*keys, F.window("timestamp", panes).alias("pane")])
+        windows = F.window(F.window_time("pane"), window, slide).alias("window")
+        return _flatten(_add_cells(tiles, [*keys, windows]), keys)
     if panes:
         return merge_cells(fare_cells(quotes, keys, panes), keys, window, slide)
     groups: list = list(keys)
     if window:
         groups.append(F.window("timestamp", window, slide).alias("window"))
+    return _flatten(_count_quotes(quotes, groups), keys)
+
+
+def _count_quotes(quotes: DataFrame, groups: list) -> DataFrame:
     price = F.col("price_usd").cast("double")
     limbs, rest = price_limbs(price)
-    cells = quotes.groupBy(*groups).agg(
+    return quotes.groupBy(*groups).agg(
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),
         *[F.sum(limb).alias(name) for name, limb in zip(LIMBS, limbs)],
@@ -63,22 +72,24 @@ def fare_cells(
         F.count(price).alias("priced_count"),
         F.count("*").alias("flight_count"),
     )
-    return _flatten(cells, keys)
 
 
 def price_limbs(price: Column) -> tuple[list[Column], Column]:
-    """A price as whole millions, thousands, cents and ten-billionths, and what does not
-    fit them: the price itself where its millions are no number of 64 bits, else 0."""
+    """A price in whole units of each limb, and what does not fit them: the price itself
+    where its millions are no number of 64 bits, else 0."""
     fits = F.abs(price) < 9e24  # false for infinities and NaN
     known = F.when(fits, price).otherwise(0.0)
     millions = F.floor(known / 1e6)
     below = known - millions * 1e6
     thousands = F.floor(below / 1e3)
     cents = F.rint((below - thousands * 1e3) * 100)
-    fine = F.rint((known - (millions * 1e6 + thousands * 1e3 + cents / 100.0)) * 1e10)
-    # In prices of many digits the last limb is rounding noise, in the largest too large.
-    fine = F.coalesce(fine.try_cast("bigint"), F.lit(0))
-    return [millions, thousands, cents.cast("bigint"), fine], F.when(fits, 0.0).otherwise(price)
+    whole = F.rint(known * 100) / 100.0 == known  # a price in cents has no rest
+    rest = F.when(whole, 0.0).otherwise(known - (millions * 1e6 + thousands * 1e3 + cents / 100.0))
+    fine = F.rint(rest * 1e10)
+    finest = F.rint((rest - fine / 1e10) * 1e18)
+    # In prices of many digits these two are rounding noise, in the largest too large.
+    small = [F.coalesce(limb.try_cast("bigint"), F.lit(0)) for limb in (fine, finest)]
+    return [millions, thousands, cents.cast("bigint"), *small], F.when(fits, 0.0).otherwise(price)
 
 
 def merge_cells(
@@ -93,12 +104,15 @@ def merge_cells(
         groups.append(F.window("window_start", window, slide).alias("window"))
     else:
         groups.extend(window_bounds(cells))
-    merged = cells.groupBy(*groups).agg(
+    return _flatten(_add_cells(cells, groups), keys)
+
+
+def _add_cells(cells: DataFrame, groups: list) -> DataFrame:
+    return cells.groupBy(*groups).agg(
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
         *[F.sum(name).alias(name) for name in SUMS],
     )
-    return _flatten(merged, keys)
 
 
 def average_price() -> Column:
@@ -110,7 +124,7 @@ def average_price() -> Column:
     priced = F.col("priced_count")
     limb = lambda name: F.col(name).cast("decimal(20,0)")
     cents = limb("sum_millions") * 100_000_000 + limb("sum_thousands") * 100_000 + limb("sum_cents")
-    total = cents.cast("double") + F.col("sum_fine") / 1e8
+    total = cents.cast("double") + (F.col("sum_fine") / 1e8 + F.col("sum_finest") / 1e16)
     mean = ratio(total, 100.0 * priced) + ratio(F.col("sum_rest"), priced)
     return mean.alias("avg_price")
 

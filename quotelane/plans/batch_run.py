@@ -17,6 +17,7 @@ from quotelane.operators.ranking import cheapest
 from quotelane.schema import ROUTE
 from quotelane.session import materialize
 from quotelane.sinks.columns import conform
+from quotelane.streaming import runs
 
 # Query type, table of the streaming side, table of the batch side.
 COMPARED = [
@@ -53,11 +54,17 @@ def run_batch(
 def run_comparison(
     spark: SparkSession,
     store,
-    stream_seconds: float,
+    stream_seconds: float | None = None,
     as_of: Column | None = None,
     within: str = "1 hour",
 ) -> None:
-    """Append one comparison row per query type to ``store``."""
+    """Append one comparison row per query type to ``store``.
+
+    The stream's time is the one that it stored, or 0 before its first report, unless
+    ``stream_seconds`` is given. A side that has stored nothing counts 0 rows.
+    """
+    if stream_seconds is None:
+        stream_seconds = runs.stream_seconds(spark, store) or 0.0
     for query_type, streamed, batch in COMPARED:
         row = compare_results(
             store.read(spark, streamed), store.read(spark, batch), query_type, stream_seconds, as_of, within

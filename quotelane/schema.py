@@ -48,7 +48,8 @@ QUOTE_FULL = T.StructType(
     ]
 )
 
-# Column types of the stored tables, load stamp last. Counts are long, as a busy route has
+# Column types of the stored tables, load stamp last: those of the decoded quotes and of the
+# reports, so nothing is lost or rounded in a store. Counts are long, as a busy route has
 # more quotes than an int can count.
 TABLES = {
     "raw_flight_prices": {
@@ -57,14 +58,14 @@ TABLES = {
         "flight_number": "string",
         "origin": "string",
         "destination": "string",
-        "departure_date": "date",
+        "departure_date": "string",
         "departure_time": "string",
         "arrival_time": "string",
         "duration_minutes": "int",
-        "price_usd": "decimal(10,2)",
+        "price_usd": "double",
         "seats_available": "int",
         "timestamp": "timestamp",
-        "producer_timestamp": "decimal(20,6)",
+        "producer_timestamp": "double",
         "route_id": "string",
         "topic": "string",
         "kafka_timestamp": "timestamp",
@@ -75,9 +76,9 @@ TABLES = {
         "destination": "string",
         "window_start": "timestamp",
         "window_end": "timestamp",
-        "min_price": "decimal(10,2)",
-        "max_price": "decimal(10,2)",
-        "avg_price": "decimal(10,2)",
+        "min_price": "double",
+        "max_price": "double",
+        "avg_price": "double",
         "flight_count": "bigint",
         "created_at": "timestamp",
     },
@@ -88,7 +89,7 @@ TABLES = {
         "window_end": "timestamp",
         "airline": "string",
         "airline_name": "string",
-        "avg_price": "decimal(10,2)",
+        "avg_price": "double",
         "flight_count": "bigint",
         "price_rank": "int",
         "created_at": "timestamp",
@@ -98,17 +99,17 @@ TABLES = {
         "destination": "string",
         "window_start": "timestamp",
         "window_end": "timestamp",
-        "avg_price": "decimal(10,2)",
+        "avg_price": "double",
         "created_at": "timestamp",
     },
     "batch_route_stats": {
         "origin": "string",
         "destination": "string",
-        "min_price": "decimal(10,2)",
-        "max_price": "decimal(10,2)",
-        "avg_price": "decimal(10,2)",
+        "min_price": "double",
+        "max_price": "double",
+        "avg_price": "double",
         "flight_count": "bigint",
-        "execution_time": "decimal(10,3)",
+        "execution_time": "double",
         "created_at": "timestamp",
     },
     "batch_best_airlines": {
@@ -116,26 +117,42 @@ TABLES = {
         "destination": "string",
         "airline": "string",
         "airline_name": "string",
-        "avg_price": "decimal(10,2)",
+        "avg_price": "double",
         "flight_count": "bigint",
         "price_rank": "int",
-        "execution_time": "decimal(10,3)",
+        "execution_time": "double",
         "created_at": "timestamp",
     },
+    "stream_times": {"seconds": "double"},
     "comparison_metrics": {
         "query_type": "string",
-        "streaming_execution_time": "decimal(10,3)",
-        "batch_execution_time": "decimal(10,3)",
+        "streaming_execution_time": "double",
+        "batch_execution_time": "double",
         "streaming_result_count": "bigint",
         "batch_result_count": "bigint",
-        "streaming_avg_price": "decimal(10,2)",
-        "batch_avg_price": "decimal(10,2)",
+        "streaming_avg_price": "double",
+        "batch_avg_price": "double",
         # A double: a two-digit-scale decimal of five digits cannot hold 1000 %.
         "price_diff_percentage": "double",
         "comparison_timestamp": "timestamp",
     },
 }
 
+# Types of columns in a database, where they are narrower.
+DATABASE_TYPES = {
+    "price_usd": "decimal(10,2)",
+    "min_price": "decimal(10,2)",
+    "max_price": "decimal(10,2)",
+    "avg_price": "decimal(10,2)",
+    "streaming_avg_price": "decimal(10,2)",
+    "batch_avg_price": "decimal(10,2)",
+    "execution_time": "decimal(10,3)",
+    "streaming_execution_time": "decimal(10,3)",
+    "batch_execution_time": "decimal(10,3)",
+    "producer_timestamp": "decimal(20,6)",
+    "departure_date": "date",
+}
+
 # Bounded string sizes, used only where a database creates the table.
 STRING_SIZES = {
     "airline": 10,

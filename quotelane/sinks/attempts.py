@@ -8,7 +8,7 @@ per batch and leave out the rest, so a repeated batch is read once.
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 Append = Callable[[DataFrame, str], None]
@@ -18,23 +18,38 @@ def commits_table(table: str) -> str:
     return f"{table}_commits"
 
 
-def append_attempt(df: DataFrame, table: str, batch_id: int, append: Append) -> None:
-    """Store one attempt with ``append(rows, table name)``."""
+def append_attempt(
+    df: DataFrame,
+    table: str,
+    batch_id: int,
+    append: Append,
+    beside: dict[str, DataFrame] | None = None,
+    snapshot: bool = False,
+) -> None:
+    """Store one attempt with ``append(rows, table name)``.
+
+    ``beside`` holds rows of other tables that belong to it; one commit covers all. A
+    ``snapshot`` takes the place of earlier ones when it is committed.
+    """
     attempt = uuid.uuid4().hex
-    stamped = df.withColumns(
-        {"batch_id": F.lit(batch_id).cast("long"), "attempt": F.lit(attempt)}
-    )
-    append(stamped, table)
+    stamps = {"batch_id": F.lit(batch_id).cast("long"), "attempt": F.lit(attempt)}
+    for name, rows in {**(beside or {}), table: df}.items():
+        append(rows.withColumns(stamps), name)
     commit = df.sparkSession.range(1).select(
         F.lit(batch_id).cast("long").alias("batch_id"),
         F.lit(attempt).alias("attempt"),
         F.current_timestamp().alias("committed_at"),
+        F.lit(snapshot).alias("snapshot"),
     )
     append(commit, commits_table(table))
 
 
 def committed_rows(rows: DataFrame, commits: DataFrame) -> DataFrame:
-    """Rows of the first committed attempt of each batch."""
-    winners = commits.groupBy("batch_id").agg(F.min_by("attempt", "committed_at").alias("attempt"))
+    """Rows of the first committed attempt of each batch; of snapshots the newest only."""
+    winners = commits.groupBy("batch_id", "snapshot").agg(
+        F.min_by("attempt", "committed_at").alias("attempt")
+    )
+    newest = F.max(F.when(F.col("snapshot"), F.col("batch_id"))).over(Window.partitionBy())
+    winners = winners.withColumn("newest", newest).where("NOT snapshot OR batch_id = newest")
     kept = rows.join(winners, ["batch_id", "attempt"], "left_semi")
     return kept.drop("batch_id", "attempt")

@@ -1,42 +1,97 @@
 """Parquet writes of micro-batches that may be repeated.
 
-A stream repeats its last micro-batch after a failure. Both writers here replace
-what an earlier attempt of the same batch left, so repeating adds no rows.
+A stream repeats its last micro-batch after a failure. ``write_batch`` replaces what an
+earlier attempt of the same batch left. ``write_snapshot`` writes each snapshot to a folder
+of its own and then one row to a table of commits; readers take the newest committed one,
+so they never see a part of a snapshot, and its files are never replaced under them.
 """
 
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Snapshots kept, so that a reader can finish while newer ones are written.
-SNAPSHOTS = 3
+# A reader may take so long to read a snapshot after finding it.
+READER_SECONDS = 3600.0
+COMMIT = "snapshot long, folder string, committed_at timestamp"
 
 
-def write_snapshot(df: DataFrame, path: str, batch_id: int, keep: int = SNAPSHOTS) -> None:
-    """Store a full result. It takes the place of the one written ``keep`` batches ago."""
-    numbered = df.withColumn("snapshot", F.lit(batch_id).cast("long"))
-    _replace_partition(numbered.withColumn("slot", F.lit(batch_id % keep)), path, "slot")
+def snapshots_path(path: str) -> str:
+    return f"{path}_snapshots"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, outer: str | None = None) -> None:
-    """Store the rows that a batch adds, below folders of column ``outer`` if given."""
-    folders = [outer, "batch_id"] if outer else ["batch_id"]
-    _replace_partition(df.withColumn("batch_id", F.lit(batch_id).cast("long")), path, *folders)
+def write_snapshot(df: DataFrame, path: str, batch_id: int, readers: float = READER_SECONDS) -> None:
+    """Store a full result. Those that others took the place of longer than ``readers``
+    seconds ago are deleted: no reader that is faster than that loses its files."""
+    spark = df.sparkSession
+    folder = f"{batch_id:012d}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{snapshots_path(path)}/{folder}")
+    commit = spark.range(1).select(
+        F.lit(batch_id).cast("long").alias("snapshot"), F.lit(folder).alias("folder"),
+        F.current_timestamp().alias("committed_at"))
+    commit.coalesce(1).write.mode("append").parquet(f"{path}_commits")
+    _forget(spark, path, readers)
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot, or all added rows, or a plain table."""
-    stored = spark.read.parquet(path)
-    if "slot" in stored.columns:
-        newest = stored.agg(F.max("snapshot")).first()[0]
-        slots = stored.where(F.col("snapshot") == newest)
-        return slots.drop("slot", "snapshot")
-    return stored.drop("batch_id")
+def _forget(spark: SparkSession, path: str, readers: float) -> None:
+    """Delete the folders of snapshots that have long been followed by another."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(snapshots_path(path))
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = {status.getPath().getName(): status for status in files.listStatus(hadoop)}
+    commits = spark.read.schema(COMMIT).parquet(f"{path}_commits")
+    # The folders that are left are few, so are their commits.
+    rows = commits.where(F.col("folder").isin(*there)).orderBy("snapshot", F.desc("committed_at")).collect()
+    now = time.time()
+    for old, following in zip(rows, rows[1:]):
+        if following["committed_at"].timestamp() < now - readers:
+            files.delete(there[old["folder"]].getPath(), True)
 
 
-def _replace_partition(df: DataFrame, path: str, *folders: str) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, outer: str | None = None) -> None:
+    """Store the rows that a batch adds, below folders of column ``outer`` if given."""
+    folders = [outer, "batch_id"] if outer else ["batch_id"]
     (
-        df.write.mode("overwrite")
+        df.withColumn("batch_id", F.lit(str(batch_id)))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)
         .parquet(path)
     )
+
+
+def append_run(df: DataFrame, path: str, outer: str | None = None) -> None:
+    """Store rows outside any stream, in the same layout, under a name of their own."""
+    folders = [outer, "batch_id"] if outer else ["batch_id"]
+    named = df.withColumn("batch_id", F.lit(f"run-{uuid.uuid4().hex}"))
+    named.write.mode("append").partitionBy(*folders).parquet(path)
+
+
+def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The table at ``path``, None if nothing was written there yet."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def read_results(
+    spark: SparkSession, path: str, columns: dict[str, str] | None = None, outer: dict[str, str] | None = None
+) -> DataFrame | None:
+    """The newest snapshot, or all added rows; None if there are neither.
+
+    ``columns`` are the types of the table and ``outer`` those of its folders.
+    """
+    commits = read_parquet(spark, f"{path}_commits", COMMIT)
+    # One row per snapshot: not data.
+    newest = commits and commits.orderBy(F.desc("snapshot"), "committed_at").first()
+    types = lambda found: ", ".join(f"`{name}` {kind}" for name, kind in found.items())
+    if newest:
+        return read_parquet(spark, f"{snapshots_path(path)}/{newest['folder']}", columns and types(columns))
+    layout = columns and types({**columns, **(outer or {}), "batch_id": "string"})
+    rows = read_parquet(spark, path, layout)
+    return None if rows is None else rows.drop("batch_id")

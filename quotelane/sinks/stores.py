@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from quotelane.schema import TABLES
 from quotelane.sinks.attempts import append_attempt, commits_table, committed_rows
-from quotelane.sinks.batches import read_results, write_batch, write_snapshot
-from quotelane.sinks.columns import database_types
+from quotelane.sinks.batches import append_run, read_results, write_batch, write_snapshot
+from quotelane.sinks.columns import database_types, fit_database, rejects_table
 from quotelane.sources.jdbc import read_jdbc
 
 ARCHIVE = "raw_flight_prices"
@@ -22,13 +22,21 @@ class ParquetStore:
         return f"{self.root}/{table}"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return read_results(spark, self.path(table))
+        """The stored rows; none, with the table's columns, before the first write."""
+        outer = {"date": "date"} if table == ARCHIVE else {}
+        rows = read_results(spark, self.path(table), TABLES.get(table), outer)
+        if rows is not None:
+            return rows
+        if table not in TABLES:
+            raise ValueError(f"nothing was stored in {table} yet, and its columns are not known")
+        types = {**TABLES[table], **outer}
+        return spark.createDataFrame([], ", ".join(f"`{name}` {kind}" for name, kind in types.items()))
 
     def append(self, df: DataFrame, table: str) -> None:
         if table == ARCHIVE:
-            _by_date(df).write.mode("append").partitionBy("date").parquet(self.path(table))
+            append_run(_by_date(df), self.path(table), outer="date")
         else:
-            df.write.mode("append").parquet(self.path(table))
+            append_run(df, self.path(table))
 
     def append_batch(self, df: DataFrame, table: str, batch_id: int) -> None:
         if table == ARCHIVE:
@@ -65,14 +73,26 @@ class JdbcStore:
         return committed_rows(rows, commits)
 
     def append(self, df: DataFrame, table: str) -> None:
-        df.write.jdbc(self.url, table, mode="append", properties=self.write_options(table))
+        """Add rows outside any stream. Those that do not fit go to a table of rejects."""
+        fitting, rejects = fit_database(df)
+        self._write(rejects, rejects_table(table))
+        self._write(fitting, table)
 
     def append_batch(self, df: DataFrame, table: str, batch_id: int) -> None:
-        append_attempt(df, table, batch_id, self.append)
+        self._attempt(df, table, batch_id, snapshot=False)
 
     def replace(self, df: DataFrame, table: str, batch_id: int) -> None:
-        options = {**self.write_options(table), "truncate": "true"}
-        df.write.jdbc(self.url, table, mode="overwrite", properties=options)
+        """Store a snapshot as an attempt of its batch; readers take the newest committed
+        one, so they never see an empty table or a part of one."""
+        self._attempt(df, table, batch_id, snapshot=True)
+
+    def _attempt(self, df: DataFrame, table: str, batch_id: int, snapshot: bool) -> None:
+        fitting, rejects = fit_database(df)
+        beside = {rejects_table(table): rejects}
+        append_attempt(fitting, table, batch_id, self._write, beside, snapshot)
+
+    def _write(self, df: DataFrame, table: str) -> None:
+        df.write.jdbc(self.url, table, mode="append", properties=self.write_options(table))
 
 
 def _by_date(quotes: DataFrame) -> DataFrame:

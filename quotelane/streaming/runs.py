@@ -5,6 +5,7 @@ All reports of a stream share one stateful query. Its state is a set of cells (s
 the number of reports.
 """
 
+import time
 from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ from quotelane.session import adaptive_execution
 from quotelane.sinks.columns import conform
 
 WINDOW = "30 minutes"
+# The table with the seconds that each micro-batch took.
+TIMES = "stream_times"
 REPORTS = ("route_stats", "best_airlines", "price_trends")
 CELL_KEYS = ROUTE + CARRIER
 
@@ -69,10 +72,12 @@ def start_reports(
     that a stamp far in the future closes all windows before it.
     """
     timed = with_event_time(quotes, watermark)
-    # Snapshots are free to keep panes as state and to build the windows from them.
+    # State holds panes. Snapshots build the windows from them in each batch; under a
+    # watermark a second aggregate does, which closes each window once.
     panes = None if watermark else pane(window, slide)
 
     def store_batch(rows: DataFrame, batch_id: int) -> None:
+        started = time.monotonic()
         cells = rows.persist()
         try:
             if cells.isEmpty():
@@ -83,6 +88,8 @@ def start_reports(
             save = store.append_batch if watermark else store.replace
             for table in tables:
                 save(fit(reports[table], table), table, batch_id)
+            spent = rows.sparkSession.range(1).select(F.lit(time.monotonic() - started).alias("seconds"))
+            store.append_batch(spent.coalesce(1), TIMES, batch_id)
         finally:
             rows.unpersist()
 
@@ -141,10 +148,10 @@ def await_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def stream_seconds(query: StreamingQuery) -> float:
-    """Time spent in the micro-batches that the query still reports on."""
-    spent = (p["durationMs"].get("triggerExecution", 0) for p in query.recentProgress)
-    return sum(spent) / 1000.0
+def stream_seconds(spark: SparkSession, store) -> float | None:
+    """Time that the stream of reports has spent in all its micro-batches, None if no
+    report was stored yet. Each batch stores its time once, also if it is repeated."""
+    return store.read(spark, TIMES).agg(F.sum("seconds")).first()[0]
 
 
 def _start(df: DataFrame, store_batch, mode: str, checkpoint: str, trigger: dict | None):

@@ -1,4 +1,6 @@
-from quotelane.jobs import batch, report, stream
+from pyspark.sql import functions as F
+
+from quotelane.jobs import batch, publish, report, stream
 from quotelane.jobs.options import open_store, parser
 from quotelane.schema import TABLES
 from quotelane.session import build_session
@@ -36,6 +38,26 @@ def test_stream_then_batch_then_report(spark, tmp_path, capsys):
     assert "JFK-LAX" in printed
 
 
+def test_publish_and_whole_reports(spark, quotes, tmp_path, capsys):
+    rows = [("JFK", "LAX", f"A{i}", 10.0 + i, "2024-01-01T00:00:00") for i in range(70)]
+    df = quotes([*rows, (None, "LAX", "A", 1.0, "2024-01-01T00:00:00")])
+    df.write.parquet(str(tmp_path / "quotes"))
+    publish.main(["--quotes", str(tmp_path / "quotes"), "--files", str(tmp_path / "messages"), "--other-topic", "rest"])
+    topics = {r["topic"]: r["count"] for r in spark.read.parquet(str(tmp_path / "messages")).groupBy("topic").count().collect()}
+    assert topics == {"jfk_lax_prices": 70, "rest": 1}
+
+    from quotelane.operators.ranking import rank_averages
+    from quotelane.operators.aggregates import airline_averages
+    from quotelane.sinks.columns import conform
+
+    store = ParquetStore(str(tmp_path / "store"))
+    best = rank_averages(airline_averages(df, "30 minutes")).withColumn("price_rank", F.lit(1))
+    store.append(conform(best, "best_airlines"), "best_airlines")
+    report.main(["--store", store.root, "--rows", "5", "--output", str(tmp_path / "out")])
+    assert "only showing top 5 rows" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "out" / "cheapest_airlines")).count() == 70
+
+
 def test_store_options():
     options = parser("x")
     assert isinstance(open_store(options.parse_args(["--store", "/folder"])), ParquetStore)

@@ -24,18 +24,58 @@ def test_conform_types_and_load_stamp(spark, quotes):
     archive = conform(quotes([("JFK", "LAX", "DL", 299.999, T0)]), "raw_flight_prices")
     assert dict(archive.dtypes) == TABLES["raw_flight_prices"]
     row = archive.first()
-    assert row.price_usd == Decimal("300.00") and row.flight_number is None
+    assert row.price_usd == 299.999 and row.flight_number is None
     assert row.inserted_at is not None
 
 
-def test_what_does_not_fit_is_null_by_itself(spark, quotes):
-    df = quotes([("JFK", "LAX", "DL", 1e12, T0)]).withColumn("departure_date", F.lit("soon"))
-    row = conform(df, "raw_flight_prices").first()
-    assert row.price_usd is None and row.departure_date is None and row.origin == "JFK"
-    for price in (1e12, float("inf"), float("nan")):
-        stats = route_stats(quotes([("JFK", "LAX", "DL", price, T0)]), "1 hour")
-        row = conform(stats, "route_stats").first()
-        assert (row.origin, row.max_price, row.avg_price, row.flight_count) == ("JFK", None, None, 1)
+def test_no_value_is_lost_in_a_folder(spark, quotes, tmp_path):
+    store = ParquetStore(str(tmp_path))
+    prices = [2.5e8, 0.005, 1e12, float("inf"), float("nan"), None]
+    df = quotes([("JFK", "LAX", "DL", p, T0) for p in prices]).withColumn("departure_date", F.lit("soon"))
+    store.append_batch(conform(df, "raw_flight_prices"), "raw_flight_prices", 0)
+    archive = store.read(spark, "raw_flight_prices")
+    found = [(str(r["price_usd"]), r["departure_date"]) for r in archive.collect()]
+    assert sorted(found) == sorted((str(p), "soon") for p in prices)
+    assert archive.schema["price_usd"].dataType.simpleString() == "double"
+
+
+def test_rows_that_do_not_fit_a_database_are_kept_whole(spark, quotes, database):
+    store = JdbcStore("jdbc:x")
+    rows = [("A", "B", "x", 1.504, T0), ("A", "B", "x", 2.5e8, T0), ("LONGER", "B", "y", 1.0, T0), ("A", "B", "z", None, T0)]
+    archive = conform(quotes(rows), "raw_flight_prices")
+    for _ in range(2):  # a repeated batch
+        store.append_batch(archive, "raw_flight_prices", 0)
+    assert rows_of(store.read(spark, "raw_flight_prices"), "airline", "price_usd") == [("x", Decimal("1.50")), ("z", None)]
+    stored, commits = (spark.read.parquet(path) for path in (
+        database.path("raw_flight_prices_rejects"), database.path("raw_flight_prices_commits")))
+    rejects = committed_rows(stored, commits)
+    assert rows_of(rejects, "origin", "price_usd") == [("A", "2.5E8"), ("LONGER", "1.0")]
+    assert rejects.columns == archive.columns
+
+
+def test_reading_before_the_first_write(spark, quotes, tmp_path):
+    store = ParquetStore(str(tmp_path))
+    for table, columns in TABLES.items():
+        empty = store.read(spark, table)
+        assert empty.count() == 0 and dict(empty.drop("date").dtypes) == columns
+    with pytest.raises(ValueError):
+        store.read(spark, "unknown")
+    run_batch(quotes([("A", "B", "x", 100.0, T0)]), store)
+    run_comparison(spark, store)
+    metrics = store.read(spark, "comparison_metrics")
+    assert rows_of(metrics, "query_type", "streaming_result_count", "batch_result_count", "price_diff_percentage") == [
+        ("best_airlines", 0, 1, 0.0), ("route_stats", 0, 1, 0.0)]
+    store.replace(conform(quotes([]), "best_airlines"), "best_airlines", 0)  # a snapshot without rows
+    assert store.read(spark, "best_airlines").count() == 0
+
+
+def test_backfill_beside_a_stream(spark, quotes, tmp_path):
+    store = ParquetStore(str(tmp_path))
+    rows = conform(quotes([("A", "B", "x", 1.0, T0)]), "raw_flight_prices")
+    store.append_batch(rows, "raw_flight_prices", 0)
+    store.append(rows, "raw_flight_prices")
+    store.append_batch(rows, "raw_flight_prices", 0)
+    assert store.read(spark, "raw_flight_prices").count() == 2
 
 
 def test_repeated_batch_adds_no_rows(spark, tmp_path):
@@ -46,13 +86,25 @@ def test_repeated_batch_adds_no_rows(spark, tmp_path):
     assert rows_of(read_results(spark, path)) == [(0,), (1,), (10,), (11,), (2,)]
 
 
-def test_newest_snapshot_is_read_and_old_ones_are_replaced(spark, tmp_path):
+def test_newest_committed_snapshot_is_read(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
-    for batch_id in range(5):
+    write_snapshot(spark.range(1), path, 0)
+    reader = read_results(spark, path)
+    for batch_id in range(1, 6):
         write_snapshot(spark.range(batch_id + 1), path, batch_id)
         write_snapshot(spark.range(batch_id + 1), path, batch_id)
         assert read_results(spark, path).count() == batch_id + 1
-    assert rows_of(spark.read.parquet(path).select("snapshot").distinct()) == [(2,), (3,), (4,)]
+    assert reader.count() == 1  # its files are still there
+    spark.range(99).write.parquet(f"{path}_snapshots/000000000009-failed")  # not committed
+    assert read_results(spark, path).count() == 6
+
+
+def test_snapshots_without_readers_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch_id in range(4):
+        write_snapshot(spark.range(batch_id + 1), path, batch_id, readers=0)
+    assert len(list((tmp_path / "t_snapshots").iterdir())) == 1
+    assert read_results(spark, path).count() == 4
 
 
 def test_uncommitted_and_repeated_attempts_are_not_read(spark, tmp_path):
@@ -79,7 +131,7 @@ def test_archive_is_laid_out_by_date(spark, quotes, tmp_path):
     rows = [("A", "B", "x", 1.0, T0), ("A", "B", "x", 2.0, "2024-01-02T00:00:00"), ("A", "B", "x", 3.0, None)]
     store.append(conform(quotes(rows), "raw_flight_prices"), "raw_flight_prices")
     one_day = store.read(spark, "raw_flight_prices").where("date = '2024-01-02'")
-    assert rows_of(one_day, "price_usd") == [(Decimal("2.00"),)]
+    assert rows_of(one_day, "price_usd") == [(2.0,)]
     assert "PartitionFilters: [isnotnull(date" in one_day._jdf.queryExecution().executedPlan().toString()
     assert store.read(spark, "raw_flight_prices").count() == 3
 
@@ -132,10 +184,15 @@ def test_database_options():
         split_options("id")
 
 
+class Calls(list):
+    """Writes seen by the stand-in, and where its tables are."""
+
+
 @pytest.fixture
 def database(spark, tmp_path, monkeypatch):
     """A stand-in for a database: its tables are folders, its writes only append or replace."""
-    calls = []
+    calls = Calls()
+    calls.path = lambda table: str(tmp_path / table)
 
     def write(writer, url, table, mode=None, properties=None):
         calls.append((table, mode, properties))
@@ -157,14 +214,17 @@ def test_database_store(spark, quotes, database):
     store.append_batch(rows, "raw_flight_prices", 1)
     archive = store.read(spark, "raw_flight_prices")
     assert archive.count() == 2 and archive.columns == list(TABLES["raw_flight_prices"])
-    table, mode, properties = database[0]
-    assert (table, mode, properties["numPartitions"]) == ("raw_flight_prices", "append", "3")
+    # Rejects are stored before the rows, and both before their commit.
+    assert [call[0] for call in database[:3]] == [
+        "raw_flight_prices_rejects", "raw_flight_prices", "raw_flight_prices_commits"]
+    table, mode, properties = database[1]
+    assert (mode, properties["numPartitions"]) == ("append", "3")
     assert "origin VARCHAR(3)" in properties["createTableColumnTypes"]
 
     for batch_id in (0, 1, 1):
         store.replace(spark.range(batch_id + 1), "snapshot", batch_id)
     assert store.read(spark, "snapshot").count() == 2
-    assert database[-1][1:] == ("overwrite", {"user": "u", "numPartitions": "3", "truncate": "true"})
+    assert {mode for _, mode, _ in database} == {"append"}  # no reader finds an empty table
 
 
 def test_batch_run_from_a_database(spark, quotes, database):

@@ -75,6 +75,11 @@ def run(feed, store, tmp_path, **options):
     return query
 
 
+def stored(store, spark, table):
+    """Stored rows without the load stamp."""
+    return store.read(spark, table).drop("created_at")
+
+
 def expected(quotes, slide=None):
     return {
         "route_stats": ql.route_stats(quotes, "10 minutes", slide),
@@ -87,12 +92,12 @@ def expected(quotes, slide=None):
 def test_snapshots_equal_batch_over_several_micro_batches_and_restarts(spark, feed, store, tmp_path, slide):
     feed.add(payloads(range(0, 30, 4)))
     feed.add(payloads(range(20, 60, 4)))
-    query = run(feed, store, tmp_path, slide=slide)
-    assert runs.stream_seconds(query) > 0
+    run(feed, store, tmp_path, slide=slide)
+    assert runs.stream_seconds(spark, store) > 0
     feed.add(payloads([1, 2, 3]))  # late quotes still count
     run(feed, store, tmp_path, slide=slide)
     for table, report in expected(feed.all_quotes(), slide).items():
-        assert rows_of(store.read(spark, table)) == rows_of(report), table
+        assert rows_of(stored(store, spark, table)) == rows_of(report), table
 
 
 @pytest.mark.parametrize("slide", [None, "5 minutes"])
@@ -103,7 +108,7 @@ def test_closed_windows_are_stored_once(spark, feed, store, tmp_path, slide):
     run(feed, store, tmp_path, slide=slide, watermark="15 minutes")
     closed = F.col("window_end") <= F.lit(START + timedelta(minutes=85))
     for table, report in expected(feed.all_quotes(), slide).items():
-        assert rows_of(store.read(spark, table)) == rows_of(report.where(closed)), table
+        assert rows_of(stored(store, spark, table)) == rows_of(report.where(closed)), table
 
 
 def test_too_late_quotes_are_left_out_with_a_watermark(spark, feed, store, tmp_path):
@@ -148,7 +153,7 @@ def test_repeated_micro_batch_changes_nothing(spark, feed, store, tmp_path):
             store.replace(report, table, 0)
             store.append_batch(report, f"added_{table}", 0)
     for table, report in expected(feed.all_quotes()).items():
-        assert rows_of(store.read(spark, table)) == rows_of(report)
+        assert rows_of(stored(store, spark, table)) == rows_of(report)
         assert rows_of(store.read(spark, f"added_{table}")) == rows_of(report)
 
 
@@ -168,7 +173,7 @@ def test_stored_files_are_few_and_adaptive_execution_is_restored(spark, feed, st
         return df
 
     run(feed, store, tmp_path, fit=watching)
-    files = list((tmp_path / "store" / "route_stats").rglob("*.parquet"))
+    files = list((tmp_path / "store" / "route_stats_snapshots").rglob("*.parquet"))
     assert len(files) == 2  # one per snapshot, not one per shuffle partition
     assert seen[-1].conf.get("spark.sql.adaptive.enabled") == "false"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
@@ -177,7 +182,30 @@ def test_stored_files_are_few_and_adaptive_execution_is_restored(spark, feed, st
 def test_one_report_only(spark, feed, store, tmp_path):
     feed.add(payloads([0, 1]))
     run(feed, store, tmp_path, tables=["price_trends"])
-    assert [path.name for path in (tmp_path / "store").iterdir()] == ["price_trends"]
+    names = {path.name for path in (tmp_path / "store").iterdir()}
+    assert names == {"price_trends_snapshots", "price_trends_commits", "stream_times"}
+
+
+def test_stream_time_covers_batches_that_spark_no_longer_reports(spark, feed, store, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for m in range(5):
+            feed.add(payloads([m]))
+        query = run(feed, store, tmp_path, tables=["price_trends"])
+        assert len(query.recentProgress) <= 2
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    times = store.read(spark, runs.TIMES)
+    assert times.count() == 5
+    assert runs.stream_seconds(spark, store) == pytest.approx(sum(r["seconds"] for r in times.collect()))
+
+
+def test_sliding_windows_under_a_watermark_are_built_from_panes(feed):
+    feed.add(payloads([0]))
+    timed = runs.with_event_time(feed.quotes(), "15 minutes")
+    plan = ql.fare_cells(timed, window="10 minutes", slide="5 minutes")._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.rindex("Aggregate") :]
+    assert plan.count("Aggregate") == 2 and "Expand" in plan and "Expand" not in below
 
 
 def test_state_is_kept_per_pane_for_sliding_snapshots(feed, store, tmp_path):
