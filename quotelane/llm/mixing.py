@@ -153,13 +153,15 @@ class Mix:
     ):
         self.spark, self.block, self.text = docs.sparkSession, block_words, text
         self.names, self.seed, self.keep_rows = docs.columns, seed, keep_rows
+        # Rows are told apart by number, since ids may repeat; texts move once, at the end.
         row = [F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if keep_rows else []
-        sized = docs.select(
-            docs[doc_id].alias("doc_id"), docs[source].cast("string").alias("source"),
-            word_count(docs[text]).alias("size"), *row,
+        self.rows = materialize(
+            docs.select(
+                F.monotonically_increasing_id().alias("number"), docs[doc_id].alias("doc_id"),
+                docs[source].cast("string").alias("source"), word_count(docs[text]).alias("size"), *row),
+            "mix-rows",
         )
-        if not keep_rows:
-            sized = materialize(sized, "sizes")
+        sized = self.rows.drop("row")
         totals = sized.groupBy("source").agg(F.count("*").alias("rows"), F.sum("size").alias("size")).collect()
         self.sources = sorted((Source(r["source"], r["rows"], r["size"]) for r in totals),
                               key=lambda s: (s.name is None, s.name or ""))
@@ -185,17 +187,15 @@ class Mix:
             named, (F.col("source").isNull() == named["unnamed"])
             & (F.coalesce(sized["source"], F.lit("")) == named["name"]),
         ).withColumn("bucket", F.pmod(F.xxhash64("doc_id"), "buckets").cast("int"))
-        order = ["doc_id", "size", *([F.xxhash64(F.col(f"row.`{self.text}`"))] if self.keep_rows else [])]
-        before = Window.partitionBy("sid", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy("sid", "bucket").orderBy("doc_id", "number").rowsBetween(Window.unboundedPreceding, -1)
         rows = rows.withColumn("within", F.coalesce(F.sum("size").over(before), F.lit(0)))
         earlier = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         totals = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
         totals = totals.select("sid", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
-        kept = ["row"] if self.keep_rows else []
         return materialize(
             rows.join(totals, ["sid", "bucket"]).select(
-                "doc_id", "sid", "size", "source_size", "target",
-                (F.col("offset") + F.col("within")).alias("start"), *kept),
+                "number", "doc_id", "sid", "size", "source_size", "target",
+                (F.col("offset") + F.col("within")).alias("start")),
             "placed",
         )
 
@@ -230,40 +230,29 @@ class Mix:
             fill, "sid int, block long, shard int, pass int, words long")
 
     def taken(self) -> DataFrame:
-        """Rows (sid, block, shard, pass, doc_id, start, first_word, n_words), one for each
-        piece of a document in a slot; with ``keep_rows`` its text, white space included."""
+        """Rows (sid, block, shard, pass, number, doc_id, first_word, n_words), one for each
+        piece of a document in a slot; ``number`` is that of the document in ``rows``."""
         size, start = F.col("size"), F.col("start")
-        base = self.placed.where("size > 0")
-        words = F.regexp_extract_all(F.col(f"row.`{self.text}`"), F.lit(WORD), F.lit(0)) if self.keep_rows else None
-        if self.keep_rows:
-            base = base.withColumn("tokens", words)
-        last_block = F.floor((start + size - 1) / self.block)
 
         def piece(b):
             first = F.greatest(b * self.block - start, F.lit(0))
-            n = F.least((b + 1) * self.block - start, size) - first
-            fields = [b.alias("block"), first.alias("first_word"), n.alias("n_words"),
-                      F.greatest(start - b * self.block, F.lit(0)).alias("at")]
-            if self.keep_rows:
-                fields.append(F.slice("tokens", (first + 1).cast("int"), n.cast("int")).alias("tokens"))
-            return F.struct(*fields)
-
-        blocks = F.sequence(F.floor(start / self.block), last_block)
-        pieces = base.select("sid", "doc_id", "start", F.explode(F.transform(blocks, piece)).alias("p"))
-        pieces = pieces.select("sid", "doc_id", "start", "p.*")
+            return F.struct(
+                b.alias("block"), first.alias("first_word"),
+                (F.least((b + 1) * self.block - start, size) - first).alias("n_words"),
+                F.greatest(start - b * self.block, F.lit(0)).alias("at"))
+
+        blocks = F.sequence(F.floor(start / self.block), F.floor((start + size - 1) / self.block))
+        pieces = self.placed.where("size > 0").select(
+            "sid", "number", "doc_id", F.explode(F.transform(blocks, piece)).alias("p"))
+        pieces = pieces.select("sid", "number", "doc_id", "p.*")
         fits = F.least(F.col("n_words"), F.col("words") - F.col("at"))
-        joined = self.slots().join(pieces, ["sid", "block"]).withColumn("n_words", fits).where("n_words > 0")
-        if self.keep_rows:
-            joined = joined.withColumn(
-                "text", F.array_join(F.slice("tokens", F.lit(1), F.col("n_words").cast("int")), "")).drop("tokens")
-        return joined.drop("words", "at")
+        joined = self.slots().join(pieces, ["sid", "block"]).withColumn("n_words", fits)
+        return joined.where("n_words > 0").drop("words", "at")
 
     def words_taken(self) -> DataFrame:
         """One row per document: doc_id, size, source_size, target, taken."""
-        sums = self.taken().groupBy("sid", "start").agg(F.sum("n_words").alias("taken"))
-        sums = sums.withColumn("some", F.lit(True))
-        docs = self.placed.withColumn("some", F.col("size") > 0)
-        return docs.join(sums, ["sid", "start", "some"], "left").select(
+        sums = self.taken().groupBy("number").agg(F.sum("n_words").alias("taken"))
+        return self.placed.join(sums, "number", "left").select(
             "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
     def documents(self) -> DataFrame:
@@ -271,10 +260,14 @@ class Mix:
         the words that the mix takes in that pass. ``n_chars`` follows the text."""
         if not self.keep_rows:
             raise ValueError("the mix was planned without keep_rows")
-        texts = self.taken().groupBy("sid", "start", "pass").agg(
-            F.sort_array(F.collect_list(F.struct("first_word", "text"))).alias("parts"))
-        texts = texts.select("sid", "start", F.array_join(F.col("parts.text"), "").alias("mixed"))
-        joined = self.placed.where("size > 0").join(texts, ["sid", "start"])
+        passes = self.taken().groupBy("number", "pass").agg(
+            F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("spans"))
+        passes = passes.groupBy("number").agg(F.collect_list("spans").alias("passes"))
+        words = F.regexp_extract_all(F.col(f"row.`{self.text}`"), F.lit(WORD), F.lit(0))
+        rows = self.rows.join(passes, "number").select("row", "passes", words.alias("words"))
+        part = lambda s: F.slice("words", (s["first_word"] + 1).cast("int"), s["n_words"].cast("int"))
+        texts = F.transform("passes", lambda spans: F.array_join(F.flatten(F.transform(spans, part)), ""))
+        rows = rows.select("row", F.explode(texts).alias("mixed"))
         changed = {self.text: F.col("mixed"), "n_chars": F.length("mixed").cast("long")}
-        return joined.select(*[
+        return rows.select(*[
             (changed[n] if n in changed else F.col(f"row.`{n}`")).alias(n) for n in self.names])
