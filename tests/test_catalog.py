@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from catalog.queries import QUERIES
 from conftest import SMALL
 
 
@@ -31,10 +32,11 @@ def comparable(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() <= contract.oracle_sql().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, database, name):
     result = contract.queries()[name](spark, SMALL)
     relation = database.sql(contract.oracle_sql()[name])
