@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 NEVER = float("-inf")
+#: Texts that are held as Python objects at a time.
+PART_ROWS = 256
 #: So many parts are remembered at a time, and as many from before.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 
 class _Prefixes(dict):
@@ -98,7 +100,7 @@ class Encoder:
         return parts
 
     def compatible(self, left: str, right: str) -> bool:
-        if self.known_fits >= 4 * REMEMBERED:
+        if self.known_fits >= 3 * REMEMBERED:
             self.fit.clear()
             self.known_fits = 0
         self.known_fits += 1
@@ -187,30 +189,56 @@ class Encoder:
         return b"".join([known(p) or part(p) for p in self.parts.findall(MARK + text.replace(" ", MARK))])
 
 
+def _lists(rows: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0] + [len(r) // 4 for r in rows])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
+def _texts(model, rows: list[np.ndarray]) -> pa.Array:
+    return pa.array([model.decode(r.tolist()) if len(r) else "" for r in rows], pa.string())
+
+
+def _udf(of, kind: str, column: Column) -> Column:
+    of.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(of, kind)(column)
+
+
 def encoded(text: Column, model_file: str) -> Column:
     """The ids of a text as an array; ``model_file`` must be readable on executors."""
 
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def of(batches):
         encoder = Encoder(model_file)
         for texts in batches:
-            rows = [encoder.encode(t) for t in texts.to_pylist()]
-            ends = np.cumsum([0] + [len(r) // 4 for r in rows])
-            ids = pa.array(np.frombuffer(b"".join(rows), np.int32))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
+            yield _lists([encoder.encode(t) for t in texts.to_pylist()])
 
-    of.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(of, "array<int>")(F.coalesce(text, F.lit("")))
+    return _udf(of, "array<int>", F.coalesce(text, F.lit("")))
 
 
 def decoded(ids: Column, model_file: str) -> Column:
     """The text of an array of ids, as the library's ``decode(ids)`` gives it."""
 
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def of(batches):
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         for rows in batches:
-            flat, ends = rows.flatten().to_numpy(), np.cumsum(rows.value_lengths().to_numpy())
-            texts = [model.decode(r.tolist()) if len(r) else "" for r in np.split(flat, ends[:-1])]
-            yield pa.array(texts, pa.string())
+            ends = np.cumsum(rows.value_lengths().to_numpy())
+            yield _texts(model, np.split(rows.flatten().to_numpy(), ends[:-1]) if len(rows) else [])
 
-    of.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(of, "string")(ids)
+    return _udf(of, "string", ids)
+
+
+def coded(text: Column, model_file: str) -> Column:
+    """A struct of ``encoded`` ids and the text ``decoded`` from them, by one worker."""
+
+    def of(batches):
+        encoder = Encoder(model_file)
+        model = sentencepiece.SentencePieceProcessor(model_file=model_file)
+        for texts in batches:
+            made = []
+            for at in range(0, len(texts), PART_ROWS):
+                rows = [encoder.encode(t) for t in texts.slice(at, PART_ROWS).to_pylist()]
+                back = _texts(model, [np.frombuffer(r, np.int32) for r in rows])
+                made.append(pa.StructArray.from_arrays([_lists(rows), back], ["ids", "decoded"]))
+            kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+            yield pa.concat_arrays(made) if made else pa.array([], kind)
+
+    return _udf(of, "struct<ids:array<int>,decoded:string>", F.coalesce(text, F.lit("")))

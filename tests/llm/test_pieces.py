@@ -52,8 +52,11 @@ def test_columns(spark):
     rows = [(1, None), (2, ""), (3, "Hé  llo\nworld 🙂"), (3, "Hé  llo\nworld 🙂"), (None, "x " * 30_000)]
     docs = spark.createDataFrame([(i, t, "extra") for i, t in rows], "doc_id long, text string, ids string")
     out = docs.select("text", pieces.encoded(docs["text"], MODEL).alias("found"))
-    out = out.select("text", "found", pieces.decoded(F.col("found"), MODEL).alias("back"))
+    out = out.select(
+        "text", "found", pieces.decoded(F.col("found"), MODEL).alias("back"),
+        pieces.coded(F.col("text"), MODEL).alias("both"))
     for r in out.collect():
         assert r["found"] == LIBRARY.encode(r["text"] or "")
+        assert (r["both"]["ids"], r["both"]["decoded"]) == (r["found"], r["back"])
         assert r["back"] == LIBRARY.decode(r["found"]) == (r["text"] or "")
     assert out.where("false").collect() == []
