@@ -17,6 +17,7 @@ from quotelane.llm import (
     simhash,
 )
 from quotelane.llm.columns import sha256_hex, table
+from quotelane.llm.oracle import ORACLE
 
 
 def op1_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,13 +58,12 @@ def op6_sentencepiece(
 ) -> DataFrame:
     model_file = model_file or public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents")
-    ids = docs.select("doc_id", pieces.encoded(docs["text"], model_file).alias("ids"))
-    texts = ids.select("doc_id", "ids", pieces.decoded(F.col("ids"), model_file).alias("decoded"))
-    return texts.select(
+    made = docs.select("doc_id", pieces.coded(docs["text"], model_file).alias("made"))
+    return made.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
-        sha256_hex(F.col("decoded")).alias("decoded_sha256"),
+        F.size("made.ids").cast("long").alias("n_tokens"),
+        sha256_hex(F.array_join(F.col("made.ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        sha256_hex(F.col("made.decoded")).alias("decoded_sha256"),
     )
 
 
@@ -95,23 +95,3 @@ QUERIES = {
     "op9_pairwise_ranking": op9_pairwise_ranking,
     "op10_simhash_anchors": op10_simhash_anchors,
 }
-
-#: SQL for the same rows, where SQL can express them.
-ORACLE = {
-    "op2_block_matrix_join": """
-        WITH v AS (
-            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-        ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
-                list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b) AS score
-            FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
-            WHERE q.vec_id % 20 = 0
-        ), ranked AS (
-            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
-        )
-        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
-    """,
-}
