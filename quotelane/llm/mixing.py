@@ -246,7 +246,9 @@ class Mix:
             "sid", "number", "doc_id", F.explode(F.transform(blocks, piece)).alias("p"))
         pieces = pieces.select("sid", "number", "doc_id", "p.*")
         fits = F.least(F.col("n_words"), F.col("words") - F.col("at"))
-        joined = self.slots().join(pieces, ["sid", "block"]).withColumn("n_words", fits)
+        # Spark takes the slots for as few as the ranges they come from; both sides grow with
+        # the data, so neither is broadcast.
+        joined = self.slots().hint("merge").join(pieces, ["sid", "block"]).withColumn("n_words", fits)
         return joined.where("n_words > 0").drop("words", "at")
 
     def words_taken(self) -> DataFrame:
