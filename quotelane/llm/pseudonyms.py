@@ -13,10 +13,11 @@ pseudonyms in every document, whatever their separators; different values stay d
 | card | check digit (Luhn), 13 to 19 digits | digits, check digit renewed | separators |
 | ssn | assigned areas | nine digits, within assigned areas | dashes |
 | date | calendar, years 1900 to 2099 | the day among all days of these years | order, separators |
-| phone | pattern | digits after the country code | code, separators |
+| phone | pattern, with a country code 8 to 15 digits | digits after the country code | code, separators |
 
-Where kinds overlap the earlier one in this table wins. Numbers that fail validation are
-left alone. Defined results: a null text stays null and has no finds; repeated rows are
+Where kinds overlap the earlier one in this table wins. Groups of digits beside a number may
+look like a part of it, so cards, IBANs and phones are sought at all borders of groups within
+such a run. Numbers that fail validation everywhere are left alone. Defined results: a null text stays null and has no finds; repeated rows are
 treated alike; an empty table gives an empty result.
 """
 
@@ -36,12 +37,25 @@ EXAMPLE_KEY = b"quotelane example key"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]*[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
-    "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9])",
+    "card": r"(?<![\w.+-])\d++(?:[ -]\d++)*(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?![\w/-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?!\w)",
+    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}[./]\d{1,2}[./]\d{4})"
+            r"(?:(?![\w/-])|(?=T\d{2}))",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?!\w)"
+             r"|(?<![\w+])\+\d++(?:[ ./-]?(?:\(\d++\)|(?<!\d)\d++))*",
 }
+#: Lengths of IBANs.
+IBAN_LENGTHS = {
+    length: set(countries.split()) for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()}
+#: Country codes of one and of two digits; all others have three.
+SHORT_CODES = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
@@ -161,16 +175,20 @@ def _date(found: str, key: bytes) -> str | None:
         if swapped and new.day <= 12:
             continue
         if len(a) == 4:
-            return new.strftime("%Y-%m-%d")
+            return f"{new.year:04d}{found[4]}{new.month:0{len(b)}d}{found[4]}{new.day:0{len(c)}d}"
         first, second = (new.month, new.day) if swapped else (new.day, new.month)
         return f"{first:0{len(a)}d}{found[len(a)]}{second:0{len(b)}d}{found[len(a) + 1 + len(b)]}{new.year:04d}"
 
 
 def _phone(found: str, key: bytes) -> str | None:
-    digits = re.sub(r"\D", "", found)[-10:]
-    new = str(permuted(int(digits), 10**10, key, "phone")).zfill(10)
-    code = re.match(r"\+\d+", found)
-    at = code.end() if code else 0
+    lead = re.match(r"\+(\d+)", found)
+    at = 0
+    if lead:
+        digits = lead.group(1)
+        short = SHORT_CODES.match(digits)
+        at = 1 + (len(digits) if len(digits) <= 3 else len(short.group()) if short else 3)
+    digits = re.sub(r"\D", "", found[at:])
+    new = str(permuted(int(digits), 10 ** len(digits), key, "phone")).zfill(len(digits))
     return found[:at] + _refill(found[at:], new)
 
 
@@ -178,6 +196,53 @@ REPLACE: dict[str, Callable[[str, bytes], str | None]] = {
     "email": _email, "ip": _ip, "iban": _iban, "card": _card, "ssn": _ssn, "date": _date, "phone": _phone}
 
 
+def _iban_spans(text: str, start: int, stop: int) -> list[tuple[int, int]]:
+    """Ends at borders; the country's own length first, then the longest."""
+    ends, plain, at = [], 4, stop
+    while plain < 34:
+        at += text[at : at + 1] == " "
+        if not (c := text[at : at + 1]).isascii() or not (c.isdigit() or c.isupper()):
+            break
+        plain, at = plain + 1, at + 1
+        if plain >= 15 and not re.match("[A-Za-z0-9]", text[at : at + 1]):
+            ends.append((text[start : start + 2] not in IBAN_LENGTHS.get(plain, ()), -plain, at))
+    return [(start, end) for _, _, end in sorted(ends)]
+
+
+def _card_spans(text: str, start: int, stop: int) -> list[tuple[int, int]]:
+    """Neighbouring groups of 13 to 19 digits; usual groupings first, then the longest."""
+    groups = [(m.start(), m.end()) for m in re.compile(r"\d+").finditer(text, start, stop)]
+    out = []
+    for i, (first, _) in enumerate(groups):
+        digits, sizes = 0, []
+        for a, b in groups[i:]:
+            digits, sizes = digits + b - a, [*sizes, b - a]
+            if digits > 19:
+                break
+            if digits >= 13:
+                usual = len(sizes) == 1 or set(sizes[:-1]) == {4} and sizes[-1] <= 4 or sizes == [4, 6, 5]
+                out.append((not usual, -digits, first, b))
+    return [(first, end) for _, _, first, end in sorted(out)]
+
+
+def _phone_spans(text: str, start: int, stop: int) -> list[tuple[int, int]]:
+    """Without a code, or in groups of 3, 3 and 4, the match; else 8 to 15 digits."""
+    if text[start] != "+" or re.fullmatch(r"\+\d{1,3}[ .-]?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}", text[start:stop]):
+        return [(start, stop)]
+    ends, digits = [], 0
+    for m in re.compile(r"\d+\)?").finditer(text, start, stop):
+        digits += len(m.group().rstrip(")"))
+        if digits > 15:
+            break
+        if digits >= 8 and not re.match(r"\w", text[m.end() : m.end() + 1]):
+            ends.append((start, m.end()))
+    return ends[::-1]
+
+
+SPANS: dict[str, Callable[[str, int, int], list[tuple[int, int]]]] = {
+    "iban": _iban_spans, "card": _card_spans, "phone": _phone_spans}
+
+
 def found_in(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     """Finds of a text in order: (start, end, kind, pseudonym)."""
     out: list[tuple[int, int, str, str]] = []
@@ -185,13 +250,14 @@ def found_in(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     for kind, pattern in PATTERNS.items():
         if "@" not in text if kind == "email" else not digits:
             continue
-        taken = sorted((start, end) for start, end, _, _ in out)
         for match in re.finditer(pattern, text):
-            if any(start < match.end() and match.start() < end for start, end in taken):
-                continue
-            new = REPLACE[kind](match.group(), key)
-            if new is not None:
-                out.append((*match.span(), kind, new))
+            spans = SPANS[kind](text, *match.span()) if kind in SPANS else [match.span()]
+            for start, end in spans:
+                if any(a < end and start < b for a, b, _, _ in out):
+                    continue
+                new = REPLACE[kind](text[start:end], key)
+                if new is not None:
+                    out.append((start, end, kind, new))
     return sorted(out)
 
 

@@ -37,6 +37,32 @@ def test_what_is_not_valid_stays(text):
     assert p.replaced(text, KEY) == (text, [])
 
 
+CARD, IBAN = "4111111111111111", "DE89 3704 0044 0532 0130 00"
+
+
+@pytest.mark.parametrize("text,value,kind", [
+    (f"order 12 {CARD} paid", CARD, "card"), (f"{CARD} 12 items", CARD, "card"),
+    (f"{CARD} 12/27 123", CARD, "card"), ("4111 1111 1111 1111 737", "4111 1111 1111 1111", "card"),
+    (f"1234567890 1234 {CARD}", CARD, "card"), (f"{IBAN} {CARD}", CARD, "card"),
+    (f"{IBAN} EUR 5", IBAN, "iban"), ("DE89370400440532013000 BIC COBADEFF", "DE89370400440532013000", "iban"),
+    (f"AB12 {IBAN}", IBAN, "iban"),
+    ("call +44 20 7946 0958 now", "+44 20 7946 0958", "phone"), ("+49 170 1234567.", "+49 170 1234567", "phone"),
+    ("+442079460958", "+442079460958", "phone"), ("+49 170 1234567 2024-05-06", "+49 170 1234567", "phone"),
+    ("at 2024-05-06T10:00:00Z", "2024-05-06", "date"), ("on 2024/05/06, late", "2024/05/06", "date"),
+])
+def test_values_beside_other_numbers_are_found(text, value, kind):
+    new, finds = p.replaced(text, KEY)
+    assert (text.index(value), text.index(value) + len(value), kind) in [f[:3] for f in finds]
+    assert value not in new and len(new) == len(text)
+    assert p.replaced(new, KEY)[0] != new  # the pseudonym is valid too
+
+
+def test_phones_stay_linked_whatever_their_separators():
+    one, _ = p.replaced("+44 20 7946 0958 or +442079460958", KEY)
+    first, second = one.split(" or ")
+    assert first.replace(" ", "") == second and first.startswith("+44 ")
+
+
 def test_equal_values_stay_linked_and_keys_matter():
     one, _ = p.replaced("4111111111111111 and 4111-1111-1111-1111", KEY)
     first, second = one.split(" and ")
