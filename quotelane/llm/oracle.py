@@ -112,8 +112,66 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
 
+_NODES = """
+{name}(k, t, pos, n, hash) AS (
+  SELECT 0, t, pos, n, hash FROM {leaves}
+  UNION ALL
+  SELECT k + 1, t, pos // 8, any_value((n + 7) // 8), sha256(string_agg(hash, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY k, t, pos // 8),
+{name}_runs AS (
+  SELECT k, t, pos // 8 AS run, string_agg(hash, '' ORDER BY pos) AS hashes FROM {name} WHERE n > 1 GROUP BY ALL)"""
+_FOLD = """
+{name}(k, t, pos, n, r, kept, hash, siblings) AS (
+  SELECT 0, t, pos, n, r, kept, hash, siblings FROM {leaves}
+  UNION ALL
+  SELECT f.k + 1, f.t, f.pos // 8, (f.n + 7) // 8, f.r, f.kept,
+    sha256(substr(hashes, 1, 64 * (f.pos % 8)) || f.hash || substr(hashes, 64 * (f.pos % 8) + 65)),
+    f.siblings || substr(hashes, 1, 64 * (f.pos % 8)) || substr(hashes, 64 * (f.pos % 8) + 65)
+  FROM {name} AS f JOIN {runs} AS u ON u.k = f.k AND u.t = f.t AND u.run = f.pos // 8 WHERE f.n > 1)"""
+
+
+def _leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def merkle() -> str:
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    crc = """xor(list_reduce(
+      list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+        lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT *, row_number() OVER () AS r, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t, {_leaf("text")} AS hash
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, hash, r) - 1 AS pos,
+    count(*) OVER (PARTITION BY t) AS n,
+    CASE WHEN coalesce({crc} % 3 = 0, false)
+      THEN {_leaf(f"translate(text, '{capitals}', '{capitals.lower()}')")} ELSE hash END AS given
+  FROM d),
+{_NODES.format(name="nodes", leaves="leaves")},
+tops AS (
+  SELECT 0 AS t, t AS pos, count(*) OVER () AS n, hash FROM nodes WHERE n = 1),
+{_NODES.format(name="whole", leaves="tops")},
+starts AS (
+  SELECT t, pos, n, r, true AS kept, hash, '' AS siblings FROM leaves
+  UNION ALL SELECT t, pos, n, r, false, given, '' FROM leaves),
+{_FOLD.format(name="up", leaves="starts", runs="nodes_runs")},
+between AS (
+  SELECT 0 AS t, up.t AS pos, (SELECT count(*) FROM tops) AS n, r, kept, hash, siblings FROM up WHERE up.n = 1),
+{_FOLD.format(name="above", leaves="between", runs="whole_runs")}
+SELECT l.doc_id, l.hash AS leaf, s.hash AS subroot, w.hash AS root, sha256(a.siblings) AS proof_sha256,
+  b.hash AS folded_root, b.hash = w.hash AS verified
+FROM leaves AS l JOIN between AS s ON s.r = l.r AND s.kept
+JOIN above AS a ON a.r = l.r AND a.kept AND a.n = 1 JOIN above AS b ON b.r = l.r AND NOT b.kept AND b.n = 1
+JOIN whole AS w ON w.n = 1"""
+
+
 ORACLE = {
     "op2_block_matrix_join": NEIGHBOURS,
     "op3_divergence_rules": rules(),
     "op5_chat_format": CHAT,
+    "op12_merkle_manifest": merkle(),
 }

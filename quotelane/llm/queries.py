@@ -5,7 +5,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelane.llm import (
+    alignment,
     chat,
+    licenses,
+    manifest,
     mixing,
     neighbours,
     pieces,
@@ -83,6 +86,25 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_report(table(spark, sf_dir, "documents"))
+    return found.withColumn("expressions", F.array_join("expressions", "; "))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.tamper_report(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(
+    spark: SparkSession, sf_dir: str, byte_file: str | None = None, piece_file: str | None = None
+) -> DataFrame:
+    return alignment.alignments(
+        table(spark, sf_dir, "documents"),
+        byte_file or public_tokenizers.path("byte_bpe_50k.json"),
+        piece_file or public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES = {
     "op1_multinomial_mix": op1_multinomial_mix,
     "op2_block_matrix_join": op2_block_matrix_join,
@@ -94,4 +116,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_pairwise_ranking": op9_pairwise_ranking,
     "op10_simhash_anchors": op10_simhash_anchors,
+    "op11_license_scan": op11_license_scan,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registration():
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLE) <= set(contract.oracle_sql())
 
