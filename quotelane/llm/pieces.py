@@ -2,10 +2,11 @@
 
 BPE merges the best-scored adjacent pair first. A sequence of pieces is its result exactly
 if every two neighbours are compatible: merging their joint text anew gives the two of
-them again. So the encoder takes, from left to right, the longest piece that an
-Aho-Corasick automaton finds at a position and that is compatible with the piece before;
-if none is left it steps back and tries the next shorter one. A bit field marks the
-positions from which the rest was already found impossible.
+them again. So the encoder takes, from left to right, the longest piece that begins at a
+position and is compatible with the piece before; if none is left it steps back and tries the
+next shorter one. One pass of an Aho-Corasick automaton finds the longest at every position.
+A bit field marks the positions from which the rest was already found impossible. Time grows
+in proportion to a text, however long a part of it has no place to cut.
 
 Texts are cut where no piece can cross: before a run of word marks, and around characters
 that no longer piece holds, such as a line end. Each cut part is encoded once and
@@ -34,7 +35,9 @@ NEVER = float("-inf")
 #: Texts that are held as Python objects at a time.
 PART_ROWS = 256
 #: So many parts are remembered at a time, and as many from before.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
+#: Longer parts are not remembered.
+REMEMBERED_CHARACTERS = 200
 
 
 class _Prefixes(dict):
@@ -68,15 +71,15 @@ class Encoder:
         )
         # A piece that merging its own text does not give can never be part of a result.
         reached = {p for p in self.ids if len(p) == 1 or self.merged(p) == [p]}
-        #: A path in the automaton and the pieces it begins with, the longest first; a
-        #: character alone is always one.
-        self.prefixes = _Prefixes(
-            (path, tuple(path[:n] for n in range(len(path), 0, -1) if n == 1 or path[:n] in reached))
-            for path in {p[:n] for p in reached for n in range(1, len(p) + 1)}
+        #: A piece and those that it begins with, the longest first; a character alone is
+        #: always one.
+        self.shorter = _Prefixes(
+            (piece, tuple(piece[:n] for n in range(len(piece), 0, -1) if n == 1 or piece[:n] in reached))
+            for piece in reached
         )
         self.automaton = ahocorasick.Automaton()
         for piece in reached:
-            self.automaton.add_word(piece, len(piece))
+            self.automaton.add_word(piece, len(piece) - 1)
         self.automaton.make_automaton()
         self.piece_of = {i: p for p, i in self.ids.items()}
         self.closing = {p: array("i", [i]).tobytes() for p, i in self.ids.items() if len(p) == 1}
@@ -100,7 +103,7 @@ class Encoder:
         return parts
 
     def compatible(self, left: str, right: str) -> bool:
-        if self.known_fits >= 3 * REMEMBERED:
+        if self.known_fits >= 300_000:
             self.fit.clear()
             self.known_fits = 0
         self.known_fits += 1
@@ -110,19 +113,27 @@ class Encoder:
 
     def split(self, text: str) -> list[str]:
         """The pieces of a text; characters without a piece stand for themselves."""
-        size = len(text)
-        longest, prefixes, fit, compatible = self.automaton.longest_prefix, self.prefixes, self.fit, self.compatible
-        at, before, failed, tried = 0, "", 0, 0
+        end = len(text)
+        # One pass for the longest piece that begins at each position: the matches come in
+        # the order of their ends, so the longest stays.
+        to = list(range(1, end + 1))
+        for last, before_last in self.automaton.iter(text):
+            to[last - before_last] = last + 1
+        shorter, fit, compatible = self.shorter, self.fit, self.compatible
+        failed = None  # a bit for each position that leads nowhere, once there is one
+        at, before, tried = 0, "", 0
         out, tries = [], []
-        while at < size:
-            found = prefixes[text[at : at + longest(text[at:])] or text[at]]
+        while at < end:
+            found = shorter[text[at : to[at]]]
             if tried:
                 found = found[tried:]
             fits = fit[before]
             for piece in found:
                 tried += 1
-                if failed and failed >> (at + len(piece)) & 1:
-                    continue
+                if failed:
+                    after = at + len(piece)
+                    if failed[after >> 3] >> (after & 7) & 1:
+                        continue
                 if before:
                     known = fits.get(piece)
                     if known is None:
@@ -136,8 +147,9 @@ class Encoder:
                 break
             else:  # no piece fits here: step back and forbid this position
                 if not out:
-                    raise ValueError(f"no encoding for {text!r}")
-                failed |= 1 << at
+                    raise ValueError(f"no encoding for {text[:100]!r}")
+                failed = failed or bytearray(end // 8 + 1)
+                failed[at >> 3] |= 1 << (at & 7)
                 at -= len(out.pop())
                 tried = tries.pop()
                 before = out[-1] if out else ""
@@ -177,9 +189,10 @@ class Encoder:
             ids = self.old.get(text) or self.extended(text)
             if ids is None:
                 ids = array("i", self.pieces_to_ids(self.split(text))).tobytes()
-            if len(self.new) >= REMEMBERED:
-                self.old, self.new = self.new, {}
-            self.new[text] = ids
+            if len(text) <= REMEMBERED_CHARACTERS:
+                if len(self.new) >= REMEMBERED:
+                    self.old, self.new = self.new, {}
+                self.new[text] = ids
         return ids
 
     def encode(self, text: str) -> bytes:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -34,6 +35,16 @@ def test_awkward_texts(encoder, text):
     assert ids(encoder, text) == LIBRARY.encode(text)
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", " ", "abcdefghijklmnopqrstuvwxyzäé中"])
+def test_unbroken_texts_take_linear_time(encoder, letters):
+    rng = random.Random(3)
+    text = "".join(rng.choice(letters) for _ in range(1_000_000))
+    started = time.monotonic()
+    found = ids(encoder, text)
+    assert time.monotonic() - started < 20
+    assert found == LIBRARY.encode(text)
+
+
 def test_steps_back_where_a_longest_piece_leads_nowhere(encoder):
     words = ["▁unbelievably", "▁Einundzwanzig", "▁aaaaaaab", "▁thththe"]
     for word in words:
