@@ -42,6 +42,19 @@ def harsh_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harsh(event_quotes(spark, sf_dir))
 
 
+def vast_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same quotes with prices of any size: some of 1e300, some too large for 64 bits."""
+    quotes = event_quotes(spark, sf_dir)
+    second = F.unix_seconds(F.col("timestamp").cast("timestamp")) % 11
+    price = (
+        F.when((F.col("airline") == "C2") & (second == 0), F.lit(1e300))
+        .when(F.col("airline") == "C0", F.col("price_usd") * 1e22)
+        .when(F.col("airline") == "C4", F.col("price_usd") * 1e12)
+        .otherwise(F.col("price_usd"))
+    )
+    return quotes.withColumn("price_usd", price)
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same quotes as a file stream."""
     schema = table(spark, sf_dir, "events").schema

@@ -19,6 +19,18 @@ HARSH = """q AS (
                value AS price_usd, ts AS "timestamp", CAST(floor(epoch(ts)) AS BIGINT) % 11 AS second
         FROM events))"""
 
+# Prices of any size.
+VAST = """q AS (
+  SELECT origin, destination, airline, airline_name,
+         CASE WHEN airline = 'C2' AND second = 0 THEN 1e300
+              WHEN airline = 'C0' THEN price_usd * 1e22
+              WHEN airline = 'C4' THEN price_usd * 1e12 ELSE price_usd END AS price_usd, "timestamp"
+  FROM (SELECT event_type AS origin, concat('G', CAST(user_id % 3 AS VARCHAR)) AS destination,
+               concat('C', CAST(user_id % 7 AS VARCHAR)) AS airline,
+               concat('Carrier ', CAST(user_id % 7 AS VARCHAR)) AS airline_name,
+               value AS price_usd, ts AS "timestamp", CAST(floor(epoch(ts)) AS BIGINT) % 11 AS second
+        FROM events))"""
+
 STAR = """q AS (
   SELECT sr.r_name AS origin, cr.r_name AS destination,
          concat('S', CAST(s_suppkey AS VARCHAR)) AS airline, s_name AS airline_name,
@@ -192,6 +204,20 @@ SELECT query_type, round(avg(streaming_execution_time), 6) AS streaming,
 FROM {source} GROUP BY query_type"""
 
 
+def numbered(report: str, *order: str, unknown: str = "LAST") -> str:
+    places = ", ".join(f"{name} NULLS {unknown}" for name in order)
+    return f"SELECT *, row_number() OVER (ORDER BY {places}) AS row_number FROM ({report})"
+
+
+def vast(keys: str, columns: str = "") -> str:
+    return f"""WITH {VAST}
+SELECT {keys}{columns}, printf('%.8e', avg(price_usd)) AS avg_price, count(*) AS flight_count
+FROM q GROUP BY {keys}"""
+
+
+VAST_STATS = vast("origin, destination", ", min(price_usd) AS min_price, max(price_usd) AS max_price")
+IN_TIME = ("origin", "destination", "window_start")
+
 TOPIC = "lower(origin) || '_' || lower(destination) || '_prices' AS topic"
 ROUTE_ID = "origin || '-' || destination AS route_id"
 # Windows that a watermark of one hour closes.
@@ -228,6 +254,21 @@ SELECT origin, destination, airline, airline_name, round({FINE_MEAN}, 3) AS avg_
        count(*) AS flight_count FROM q GROUP BY ALL""",
     "harsh_price_rank": harshly(ranks(HARSH, where="WHERE origin IS NOT NULL")),
     "harsh_archive": harshly(stats(HARSH)),
+    "vast_route_stats": VAST_STATS,
+    "vast_airline_averages": vast("origin, destination, airline, airline_name"),
+    "vast_merged_cells": VAST_STATS,
+    "price_trend_daily_numbered": numbered(daily(EVENTS), "origin", "destination", "date", unknown="FIRST"),
+    "trend_listing_numbered": numbered(listing(E_TUMBLING), *IN_TIME),
+    "trend_series_numbered": numbered(series(E_TUMBLING), *IN_TIME),
+    "trend_series_text_stamps": numbered(series(E_TUMBLING), *IN_TIME),
+    "best_airline_listing_numbered": numbered(
+        ranks(
+            E_TUMBLING,
+            "origin, destination, airline, airline_name, avg_price, window_start",
+            "WHERE price_rank = 1",
+        ),
+        *IN_TIME, "airline", "airline_name",
+    ),
     "trend_listing": listing(E_TUMBLING),
     "trend_series": series(E_TUMBLING),
     "best_airline_listing": ranks(
@@ -288,6 +329,21 @@ SELECT query_type, CAST(0 AS BIGINT) AS streaming_result_count, n AS batch_resul
        CAST(NULL AS DOUBLE) AS streaming_avg_price, CAST(0 AS DOUBLE) AS price_diff_percentage
 FROM (SELECT 'route_stats' AS query_type, count(*) AS n FROM (SELECT DISTINCT origin, destination FROM q)
       UNION ALL SELECT 'best_airlines', count(*) FROM ({best(EVENTS)}))""",
+    "stream_unreadable_payloads": f"""WITH {EVENTS}
+SELECT CASE WHEN airline = 'C0' THEN 'unreadable payload' ELSE 'unreadable field' END AS reason, {TOPIC},
+       "timestamp" + INTERVAL '1 second' AS kafka_timestamp,
+       CASE WHEN airline = 'C0' THEN 'not json' END AS no_json,
+       CASE WHEN airline <> 'C0' THEN airline_name END AS airline_name,
+       CASE WHEN airline = 'C2' THEN price_usd END AS price_was,
+       CASE WHEN airline <> 'C0' THEN CASE WHEN airline = 'C3' THEN '?' ELSE '' END
+            || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') END AS stamp
+FROM q WHERE airline IN ('C0', 'C2', 'C3')""",
+    "stream_new_checkpoint": stats(E_TUMBLING),
+    "stream_all_archive": f"WITH {EVENTS} SELECT * FROM q",
+    "stream_all_route_stats": stats(E_TUMBLING),
+    "stream_all_route_stats_sliding": stats(E_SLIDING),
+    "stream_all_best_airline": best_ranked(E_TUMBLING),
+    "archive_in_many_batches": stats(EVENTS),
     "star_route_stats": stats(STAR),
     "star_route_stats_windowed": stats(T_TUMBLING),
     "star_route_stats_sliding": stats(T_SLIDING),

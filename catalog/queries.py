@@ -13,6 +13,7 @@ from catalog.mapping import (
     harsh,
     harsh_quotes,
     star_quotes,
+    vast_quotes,
 )
 from quotelane.functions.codec import decode_quotes, encode_quotes, flatten_metadata
 from quotelane.operators.aggregates import averages_from_cells, stats_from_cells
@@ -22,7 +23,7 @@ from quotelane.schema import QUOTE, ROUTE
 from quotelane.session import scratch_path
 from quotelane.sinks.columns import conform
 from quotelane.sinks.publish import publish_files
-from quotelane.sinks.stores import ParquetStore
+from quotelane.sinks.stores import ARCHIVE, UNREADABLE, ParquetStore
 from quotelane.sources.tables import register_view
 from quotelane.streaming import runs
 
@@ -119,8 +120,8 @@ def decoded_events(quotes: DataFrame) -> DataFrame:
     return decoded.select(*QUOTE.fieldNames(), "route_id", "topic", "kafka_timestamp")
 
 
-def damaged_events(quotes: DataFrame) -> DataFrame:
-    """Decoding with a part of the payloads, prices and stamps unreadable."""
+def damaged_messages(quotes: DataFrame) -> DataFrame:
+    """Messages with a part of the payloads, prices and stamps unreadable."""
     messages = as_messages(quotes)
     value = (
         F.when(F.col("key") == "C0", F.lit("not json"))
@@ -130,10 +131,32 @@ def damaged_events(quotes: DataFrame) -> DataFrame:
         .when(F.col("key") == "C4", F.regexp_replace("value", '"origin"', '"elsewhere"'))
         .otherwise(F.col("value"))
     )
-    decoded = decode_quotes(messages.withColumn("value", value.cast("binary")), QUOTE)
+    return messages.withColumn("value", value.cast("binary"))
+
+
+def damaged_events(quotes: DataFrame) -> DataFrame:
+    decoded = decode_quotes(damaged_messages(quotes), QUOTE)
     return decoded.select(*QUOTE.fieldNames(), "topic")
 
 
+def streamed_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads that a stream could not read in full, as its archive keeps them. The
+    stream is started twice from one checkpoint; the second run has nothing to do."""
+    store, checkpoint = ParquetStore(scratch_path(spark, "stream")), scratch_path(spark, "checkpoint")
+    for _ in range(2):
+        quotes = decode_quotes(damaged_messages(event_stream(spark, sf_dir)), keep_damaged=True)
+        runs.start_archive(quotes, store, checkpoint, {"availableNow": True}).awaitTermination()
+    payload = F.col("payload").cast("string")
+    field = lambda path: F.get_json_object(payload, path)
+    return store.read(spark, UNREADABLE).select(
+        "reason", "topic", F.col("kafka_timestamp").cast("timestamp_ntz").alias("kafka_timestamp"),
+        F.when(payload == "not json", payload).alias("no_json"),
+        field("$.airline_name").alias("airline_name"),
+        field("$.was").cast("double").alias("price_was"),
+        field("$.timestamp").alias("stamp"),
+    )
+
+
 def archived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish to files, decode, archive, read the archive."""
     messages_path = scratch_path(spark, "messages")
@@ -223,6 +246,65 @@ def batch_without_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "price_diff_percentage"))
 
 
+def vast_reports(report: Report) -> Query:
+    """Prices up to 1e300; averages by their first nine digits."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = report(vast_quotes(spark, sf_dir))
+        return found.withColumn("avg_price", F.format_string("%.8e", "avg_price"))
+
+    return run
+
+
+def merged_twice(quotes: DataFrame) -> DataFrame:
+    """Route statistics by way of cells per window and airline."""
+    cells = ql.fare_cells(quotes, window=EVENT_WINDOW).drop("window_start", "window_end")
+    return stats_from_cells(ql.merge_cells(ql.merge_cells(cells, [*ROUTE, "airline"]), ROUTE))
+
+
+def with_text_stamps(trends: DataFrame) -> DataFrame:
+    return trends.withColumn("window_start", F.col("window_start").cast("string"))
+
+
+def in_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive after one micro-batch per hour of the day, each repeated, and merges of its
+    folders; then route statistics over it."""
+    store = ParquetStore(scratch_path(spark, "merged"), readers=0, fan=4)
+    quotes = conform(event_quotes(spark, sf_dir), ARCHIVE)
+    for hour in range(24):
+        rows = quotes.where(F.hour("timestamp") == hour)
+        for _ in range(2):
+            store.append_batch(rows, ARCHIVE, hour, "hours")
+    if len(store.table(spark, ARCHIVE).current().live) > 6:
+        raise AssertionError("folders were not merged")
+    return presented(ql.route_stats(store.read(spark, ARCHIVE)))
+
+
+def all_from_one_read(table: str, slide: str | None = None) -> Query:
+    """The stream that archives the quotes and adds up cells, then a report from its sums."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store, checkpoint = ParquetStore(scratch_path(spark, "all")), scratch_path(spark, "checkpoint")
+        now = {"availableNow": True}
+        runs.start_all(event_stream(spark, sf_dir), store, checkpoint, EVENT_WINDOW, slide, now).awaitTermination()
+        if table == ARCHIVE:
+            return presented(store.read(spark, ARCHIVE).select(*QUOTE.fieldNames()))
+        return presented(runs.stored_report(spark, store, table).drop("created_at"))
+
+    return run
+
+
+def under_a_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over a part of the quotes with one checkpoint, then over all with another."""
+    store, now = ParquetStore(scratch_path(spark, "epochs")), {"availableNow": True}
+    some = event_stream(spark, sf_dir).where("airline = 'C1'")
+    for quotes in (some, event_stream(spark, sf_dir)):
+        checkpoint = scratch_path(spark, "checkpoint")
+        runs.start_reports(
+            quotes, store, checkpoint, EVENT_WINDOW, trigger=now, tables=["route_stats"]).awaitTermination()
+    return presented(store.read(spark, "route_stats").drop("created_at"))
+
+
 def harsh_reports(report: Report) -> Query:
     """Prices of any size, fractions of a cent, unknown prices, averages and routes."""
     return lambda spark, sf_dir: coarsely(report(harsh_quotes(spark, sf_dir)))
@@ -307,6 +389,17 @@ QUERIES: dict[str, Query] = {
     "harsh_airline_averages": harsh_reports(ql.airline_averages),
     "harsh_price_rank": harsh_reports(lambda q: ql.price_rank(q, slices=8)),
     "harsh_archive": harsh_archive,
+    # Prices up to 1e300.
+    "vast_route_stats": vast_reports(ql.route_stats),
+    "vast_airline_averages": vast_reports(ql.airline_averages),
+    "vast_merged_cells": vast_reports(merged_twice),
+    # Reports whose order is a column.
+    "price_trend_daily_numbered": on_events(lambda q: ql.price_trend_daily(q, row_numbers=True)),
+    "trend_listing_numbered": on_events(lambda q: ql.trend_listing(ql.price_trend(q, EVENT_WINDOW), True)),
+    "trend_series_numbered": on_events(lambda q: ql.trend_series(ql.price_trend(q, EVENT_WINDOW), True)),
+    "trend_series_text_stamps": on_events(
+        lambda q: ql.trend_series(with_text_stamps(ql.price_trend(q, EVENT_WINDOW)), True)),
+    "best_airline_listing_numbered": on_events(lambda q: ql.best_airline_listing(stored_best(q), True)),
     # Listings and comparisons.
     "trend_listing": on_events(lambda q: ql.trend_listing(ql.price_trend(q, EVENT_WINDOW))),
     "trend_series": on_events(lambda q: ql.trend_series(ql.price_trend(q, EVENT_WINDOW))),
@@ -341,6 +434,13 @@ QUERIES: dict[str, Query] = {
     "stream_cells_best_airline": streamed_cells(lambda c: cheapest(averages_from_cells(c))),
     "stream_batch_comparison": stream_against_batch,
     "batch_without_stream": batch_without_stream,
+    "stream_unreadable_payloads": streamed_unreadable,
+    "stream_new_checkpoint": under_a_new_checkpoint,
+    "stream_all_archive": all_from_one_read(ARCHIVE),
+    "stream_all_route_stats": all_from_one_read("route_stats"),
+    "stream_all_route_stats_sliding": all_from_one_read("route_stats", EVENT_SLIDE),
+    "stream_all_best_airline": all_from_one_read("best_airlines"),
+    "archive_in_many_batches": in_many_batches,
     # Reports on the star schema.
     "star_route_stats": on_star(ql.route_stats),
     "star_route_stats_windowed": on_star(lambda q: ql.route_stats(q, STAR_WINDOW)),

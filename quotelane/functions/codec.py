@@ -10,20 +10,44 @@ from quotelane.schema import QUOTE_FULL
 # Fixed values of the message format.
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 UNKNOWN_KEY = "unknown"
+DAMAGED, DAMAGED_PAYLOAD = "_damaged", "damaged_payload"
 
 
-def decode_quotes(messages: DataFrame, schema: T.StructType = QUOTE_FULL) -> DataFrame:
+def decode_quotes(
+    messages: DataFrame, schema: T.StructType = QUOTE_FULL, keep_damaged: bool = False
+) -> DataFrame:
     """Messages (``value``, ``topic``, ``timestamp``) to quotes, one row for one row.
 
     Decoding is permissive: an unreadable payload gives NULL fields, an unreadable
-    field is NULL by itself. The broker's stamp is kept as ``kafka_timestamp``.
+    field is NULL by itself. The broker's stamp is kept as ``kafka_timestamp``. With
+    ``keep_damaged`` the payloads that were not read in full stay in ``damaged_payload``,
+    byte for byte; it is NULL for all others, and for messages without a payload.
     """
+    read = T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())]) if keep_damaged else schema
     parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("data"),
+        F.from_json(F.col("value").cast("string"), read, {"columnNameOfCorruptRecord": DAMAGED}).alias("data"),
         "topic",
         F.col("timestamp").alias("kafka_timestamp"),
+        *([F.col("value").cast("binary").alias("payload")] if keep_damaged else []),
     )
-    return parsed.select("data.*", "topic", "kafka_timestamp")
+    if not keep_damaged:
+        return parsed.select("data.*", "topic", "kafka_timestamp")
+    whole = F.col("data").isNotNull() & F.col(f"data.{DAMAGED}").isNull()
+    damaged = F.when(~whole, F.col("payload")).alias(DAMAGED_PAYLOAD)
+    return parsed.select(*[f"data.{f}" for f in schema.names], "topic", "kafka_timestamp", damaged)
+
+
+def without_payloads(quotes: DataFrame) -> DataFrame:
+    return quotes.drop(DAMAGED_PAYLOAD)
+
+
+def damaged_payloads(quotes: DataFrame, schema: T.StructType = QUOTE_FULL) -> DataFrame:
+    """The payloads that ``decode_quotes`` kept, and whether any field could be read."""
+    known = [f for f in schema.names if f in quotes.columns]
+    some = F.coalesce(*[F.col(f).cast("string") for f in known]).isNotNull()
+    reason = F.when(some, F.lit("unreadable field")).otherwise(F.lit("unreadable payload"))
+    kept = quotes.where(F.col(DAMAGED_PAYLOAD).isNotNull())
+    return kept.select(F.col(DAMAGED_PAYLOAD).alias("payload"), reason.alias("reason"), "topic", "kafka_timestamp")
 
 
 def flatten_metadata(quotes: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from quotelane.jobs.options import open_store, parser
 from quotelane.operators.compare import comparison_summary, latest_metrics
 from quotelane.operators.series import best_airline_listing, latest_best, trend_series
 from quotelane.session import build_session
+from quotelane.streaming.runs import stored_report
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -15,18 +16,21 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = build_session("quotelane-report")
     store = open_store(given)
-    stored = store.read(spark, "best_airlines").where("price_rank = 1")
+    stored = stored_report(spark, store, "best_airlines").where("price_rank = 1")
     metrics = latest_metrics(store.read(spark, "comparison_metrics"))
+    # Where whole reports are stored, their order is a column.
+    numbers = bool(given.output)
     reports = {
-        "Price trends": trend_series(store.read(spark, "price_trends")),
-        "Cheapest airlines": best_airline_listing(stored),
+        "Price trends": trend_series(stored_report(spark, store, "price_trends"), numbers),
+        "Cheapest airlines": best_airline_listing(stored, numbers),
         "Latest per route and airline": latest_best(stored),
         "Latest comparisons": metrics,
         "Comparison summary": comparison_summary(metrics),
     }
     for title, report in reports.items():
         print(title)
-        report.show(given.rows, truncate=False)
+        shown = report.orderBy("row_number") if "row_number" in report.columns else report
+        shown.show(given.rows, truncate=False)
         if given.output:
             folder = title.lower().replace(" ", "_")
             report.write.mode("overwrite").parquet(f"{given.output.rstrip('/')}/{folder}")

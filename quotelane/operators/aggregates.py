@@ -7,13 +7,17 @@ computed from the cells of many groups without reading the quotes again.
 Spark aggregates before it shuffles, so a group that holds a large share of all
 quotes costs one row per task in the shuffle.
 
-Prices are summed exactly, as whole numbers in five limbs: millions, thousands, cents, and
-what is left of a cent in units of 1e-10 and 1e-18. Sums of doubles depend on the order in which
-tasks finish; sums of whole numbers do not. So averages, and with them ranks and ties, are
-the same in every run, in a stream and in a batch, for prices of any size. Each limb has
-its own sum: thousands and cents add at most a hundred thousand per quote, so 9e13 quotes
-fit; the two finest limbs are 0 for prices in cents and fit 1e11 quotes of others. Fractions
-below 1e-18 are dropped, the same for every order. Prices that are not finite, or from 9e24 on, are summed apart, as doubles.
+Prices are summed exactly. Each is cut into whole numbers of ``BITS`` bits: its cents into
+five limbs, and what is left of a cent into three finer ones. Sums of doubles depend on the
+order in which tasks finish; sums of whole numbers do not. So averages, and with them ranks
+and ties, are the same in every run, in a stream and in a batch.
+
+No sum can overflow: a quote adds at most 2^20 to a limb, so 8e12 quotes of one group fit, and
+whenever cells are added up, carries move what a limb holds beyond its bits to the next one.
+What the last limbs hold beyond ``TOP_BITS`` more bits (sums from 2e37 on) goes to a sum of
+doubles, as do prices from 1e28 on and those that are not finite. That sum never fails either;
+only its last digits may depend on the order. Fractions below 2^-67 are dropped, the same for
+every order.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -21,11 +25,16 @@ from pyspark.sql import functions as F
 
 from quotelane.functions.measures import ratio
 from quotelane.functions.windows import pane
+from quotelane.operators.ordering import numbered
 from quotelane.schema import CARRIER, ROUTE
 
 BOUNDS = ["window_start", "window_end"]
-LIMBS = ["sum_millions", "sum_thousands", "sum_cents", "sum_fine", "sum_finest"]
-SUMS = [*LIMBS, "sum_rest", "priced_count", "flight_count"]
+LIMBS = ["sum_cents", "sum_cents_20", "sum_cents_40", "sum_cents_60", "sum_cents_80"]
+FINE = ["sum_finest", "sum_finer", "sum_fine"]
+BITS, TOP_BITS = 20, 40
+FINEST, REST = 2.0**-67, 2.0**64
+_MASK, _HALF = (1 << BITS) - 1, 2.0 ** (3 * BITS)
+SUMS = [*LIMBS, *FINE, "sum_rest", "priced_count", "flight_count"]
 MEASURES = ["min_price", "max_price", *SUMS]
 
 
@@ -62,34 +71,52 @@ def fare_cells(
 
 
 def _count_quotes(quotes: DataFrame, groups: list) -> DataFrame:
-    price = F.col("price_usd").cast("double")
-    limbs, rest = price_limbs(price)
-    return quotes.groupBy(*groups).agg(
+    # Step by step, so that no expression is evaluated twice for a quote.
+    price, cents, high, low, left = (F.col(f"_{name}") for name in ("price", "cents", "high", "low", "left"))
+    fits = F.abs(price) < 2.0 ** (5 * BITS) / 100  # false for infinities and NaN
+    # A price in cents has no more digits, nor has one whose digits all lie before the point.
+    whole = (cents / 100.0 == price) | ~fits | (F.abs(cents) >= 2.0**53)
+    large = F.abs(cents) >= _HALF
+    cut = (
+        quotes.withColumn("_price", F.col("price_usd").cast("double"))
+        .withColumn("_cents", F.rint(F.when(fits, price * 100).otherwise(0.0)))
+        .withColumns({
+            "_high": F.when(large, F.floor(cents / _HALF)).otherwise(F.lit(0).cast("bigint")),
+            "_left": F.when(whole, 0.0).otherwise(price - cents / 100.0),
+        })
+        .withColumn("_low", F.when(large, cents - high.cast("double") * _HALF).otherwise(cents).cast("bigint"))
+    )
+    parts = [
+        low.bitwiseAND(_MASK), F.shiftright(low, BITS).bitwiseAND(_MASK), F.shiftright(low, 2 * BITS),
+        high.bitwiseAND(_MASK), F.shiftright(high, BITS),
+    ]
+    fine = F.rint(left * 2.0**27)
+    finer = F.rint(left * 2.0**47 - fine * 2.0**20)
+    finest = F.rint(left * 2.0**67 - fine * 2.0**40 - finer * 2.0**20)
+    parts += [part.cast("bigint") for part in (finest, finer, fine)]
+    return cut.groupBy(*groups).agg(
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),
-        *[F.sum(limb).alias(name) for name, limb in zip(LIMBS, limbs)],
-        F.sum(rest).alias("sum_rest"),
+        *[F.sum(part).alias(name) for name, part in zip([*LIMBS, *FINE], parts)],
+        # In a large unit, so that no sum of finite prices becomes infinite.
+        F.sum(F.when(fits, 0.0).otherwise(price / REST)).alias("sum_rest"),
         F.count(price).alias("priced_count"),
         F.count("*").alias("flight_count"),
     )
 
 
-def price_limbs(price: Column) -> tuple[list[Column], Column]:
-    """A price in whole units of each limb, and what does not fit them: the price itself
-    where its millions are no number of 64 bits, else 0."""
-    fits = F.abs(price) < 9e24  # false for infinities and NaN
-    known = F.when(fits, price).otherwise(0.0)
-    millions = F.floor(known / 1e6)
-    below = known - millions * 1e6
-    thousands = F.floor(below / 1e3)
-    cents = F.rint((below - thousands * 1e3) * 100)
-    whole = F.rint(known * 100) / 100.0 == known  # a price in cents has no rest
-    rest = F.when(whole, 0.0).otherwise(known - (millions * 1e6 + thousands * 1e3 + cents / 100.0))
-    fine = F.rint(rest * 1e10)
-    finest = F.rint((rest - fine / 1e10) * 1e18)
-    # In prices of many digits these two are rounding noise, in the largest too large.
-    small = [F.coalesce(limb.try_cast("bigint"), F.lit(0)) for limb in (fine, finest)]
-    return [millions, thousands, cents.cast("bigint"), *small], F.when(fits, 0.0).otherwise(price)
+def _carried(limbs: list[str]) -> tuple[list[Column], Column]:
+    """The same sum with every limb but the last within its bits, and what the last one
+    holds beyond its own."""
+    carried, carry = [], F.lit(0).cast("bigint")
+    for name in limbs[:-1]:
+        total = F.col(name) + carry
+        carried.append(total.bitwiseAND(_MASK))
+        carry = F.shiftright(total, BITS)
+    last, bits = F.col(limbs[-1]), BITS + TOP_BITS
+    outside = (last >= 1 << bits) | (last < -(1 << bits))
+    beyond = F.when(outside, F.shiftright(last, bits)).otherwise(F.lit(0).cast("bigint"))
+    return [*carried, last - F.shiftleft(beyond, bits) + carry], beyond
 
 
 def merge_cells(
@@ -108,7 +135,14 @@ def merge_cells(
 
 
 def _add_cells(cells: DataFrame, groups: list) -> DataFrame:
-    return cells.groupBy(*groups).agg(
+    cents, huge = _carried(LIMBS)
+    fine, many = _carried(FINE)
+    rest = (
+        F.col("sum_rest") + huge.cast("double") * (2.0 ** (TOP_BITS + 5 * BITS) / REST / 100)
+        + many.cast("double") * (2.0 ** (TOP_BITS + 3 * BITS) / REST * FINEST)
+    )
+    within = dict(zip([*LIMBS, *FINE, "sum_rest"], [*cents, *fine, rest]))
+    return cells.withColumns(within).groupBy(*groups).agg(
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
         *[F.sum(name).alias(name) for name in SUMS],
@@ -118,17 +152,28 @@ def _add_cells(cells: DataFrame, groups: list) -> DataFrame:
 def average_price() -> Column:
     """Mean of the known prices of a cell, NULL if there are none.
 
-    The limbs are put together as one decimal and divided once, so equal means are equal
-    doubles.
+    All cents are put together as one decimal and divided once, so equal means are equal
+    doubles, however the cells were merged.
     """
     priced = F.col("priced_count")
-    limb = lambda name: F.col(name).cast("decimal(20,0)")
-    cents = limb("sum_millions") * 100_000_000 + limb("sum_thousands") * 100_000 + limb("sum_cents")
-    total = cents.cast("double") + (F.col("sum_fine") / 1e8 + F.col("sum_finest") / 1e16)
-    mean = ratio(total, 100.0 * priced) + ratio(F.col("sum_rest"), priced)
+    total = F.lit(0).cast("decimal(38,0)")
+    for k, name in enumerate(LIMBS[:-1]):
+        total = total + F.col(name).cast("decimal(20,0)") * _power(k)
+    last = F.col(LIMBS[-1])
+    fits = (last < 1 << 44) & (last > -(1 << 44))  # else the sum has no 38 digits
+    exact = (total + last.cast("decimal(20,0)") * _power(4)).cast("double")
+    cents = F.when(fits, exact).otherwise(total.cast("double") + last * 2.0 ** (4 * BITS))
+    (finest, finer, fine), _ = _carried(FINE)
+    left = (fine * 2.0**40 + (finer * 2.0**20 + finest)) * FINEST
+    mean = ratio(cents + left * 100, 100.0 * priced) + ratio(F.col("sum_rest"), priced) * REST
     return mean.alias("avg_price")
 
 
+def _power(k: int) -> Column:
+    unit = 1 << (k * BITS)
+    return F.lit(str(unit)).cast(f"decimal({len(str(unit))},0)")
+
+
 def stats_from_cells(cells: DataFrame) -> DataFrame:
     return cells.select(
         *ROUTE, *window_bounds(cells), "min_price", "max_price", average_price(), "flight_count"
@@ -164,11 +209,14 @@ def price_trend(quotes: DataFrame, window: str, slide: str | None = None) -> Dat
     return trend_from_cells(fare_cells(quotes, ROUTE, window, slide))
 
 
-def price_trend_daily(quotes: DataFrame) -> DataFrame:
-    """Average price per route and calendar date, in order."""
+def price_trend_daily(quotes: DataFrame, row_numbers: bool = False) -> DataFrame:
+    """Average price per route and calendar date, in order; with ``row_numbers`` the order
+    is a column too, and the report is written when this is called."""
     dated = quotes.withColumn("date", F.to_date("timestamp"))
     cells = fare_cells(dated, ROUTE + ["date"])
-    return cells.select(*ROUTE, "date", average_price()).orderBy(*ROUTE, "date")
+    trend = cells.select(*ROUTE, "date", average_price())
+    order = [F.asc(name) for name in (*ROUTE, "date")]
+    return numbered(trend, order) if row_numbers else trend.orderBy(*order)
 
 
 def _flatten(cells: DataFrame, keys: list[str]) -> DataFrame:

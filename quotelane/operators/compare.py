@@ -6,17 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelane.functions.measures import percent_difference, ratio
+from quotelane.schema import LOAD_STAMPS, TABLES
 
-METRIC_COLUMNS = [
-    "query_type",
-    "streaming_execution_time",
-    "batch_execution_time",
-    "streaming_result_count",
-    "batch_result_count",
-    "streaming_avg_price",
-    "batch_avg_price",
-    "price_diff_percentage",
-]
+METRIC_COLUMNS = [name for name in TABLES["comparison_metrics"] if name not in LOAD_STAMPS]
 
 
 def compare_results(

@@ -41,14 +41,21 @@ def cheapest(averages: DataFrame) -> DataFrame:
     """The rows of rank 1, with ``price_rank``: a semi join of averages with their minima.
 
     The minima are aggregated before the shuffle and no task sees a whole group, so a
-    route on which a great many airlines share the lowest average is no bottleneck. Sums
-    are exact, so both sides see the same numbers even if they are computed twice. (Sums
-    of prices that are not finite or from 9e24 on are not; store such averages first.)
+    route on which a great many airlines share the lowest average is no bottleneck. Both
+    sides use the same columns of the averages, so that Spark plans their shuffle once and
+    reuses it: the quotes are read and aggregated once. Sums are exact, so both sides see
+    the same numbers. (Sums of prices from 1e28 on and of those that are not finite are not;
+    store such averages first.)
     """
     known = rankable(averages)
     group = _group(known)
-    lowest = known.groupBy(*group).agg(F.min("avg_price").alias("avg_price"))
-    matched = known.join(lowest, [*group, "avg_price"], "left_semi")
+    # Always true, but not for the optimizer: without it the sides would lose columns apart.
+    known = known.withColumn("every", F.xxhash64(*known.columns))
+    lowest = known.groupBy(*group).agg(F.min("avg_price").alias("lowest"), F.min("every").alias("least"))
+    lowest = lowest.select(*[F.col(name).alias(f"of_{name}") for name in group], "lowest", "least")
+    same = [F.col(name) == F.col(f"of_{name}") for name in group]
+    matched = known.join(
+        lowest, [*same, F.col("avg_price") == F.col("lowest"), F.col("every") >= F.col("least")], "left_semi")
     return matched.select(*averages.columns, F.lit(1).alias("price_rank"))
 
 

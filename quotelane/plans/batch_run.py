@@ -2,6 +2,7 @@
 
 import time
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,18 +56,22 @@ def run_comparison(
     spark: SparkSession,
     store,
     stream_seconds: float | None = None,
-    as_of: Column | None = None,
+    as_of: Column | datetime | None = None,
     within: str = "1 hour",
 ) -> None:
     """Append one comparison row per query type to ``store``.
 
     The stream's time is the one that it stored, or 0 before its first report, unless
-    ``stream_seconds`` is given. A side that has stored nothing counts 0 rows.
+    ``stream_seconds`` is given. A side that has stored nothing counts 0 rows. Only folders
+    that may hold rows stored ``within`` that time are opened.
     """
     if stream_seconds is None:
         stream_seconds = runs.stream_seconds(spark, store) or 0.0
+    as_of = datetime.now(timezone.utc) if as_of is None else as_of
+    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    earliest = (now - F.expr(f"INTERVAL {within}")).cast("timestamp").cast("double")
+    since = spark.range(1).select(earliest).first()[0]
     for query_type, streamed, batch in COMPARED:
-        row = compare_results(
-            store.read(spark, streamed), store.read(spark, batch), query_type, stream_seconds, as_of, within
-        )
+        streaming = runs.stored_report(spark, store, streamed, since)
+        row = compare_results(streaming, store.read(spark, batch, since), query_type, stream_seconds, now, within)
         store.append(conform(row, "comparison_metrics"), "comparison_metrics")

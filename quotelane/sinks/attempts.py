@@ -2,7 +2,9 @@
 
 Rows carry the batch and the attempt that wrote them. When all rows of an attempt
 are stored, one row in a table of commits says so. Readers take one committed attempt
-per batch and leave out the rest, so a repeated batch is read once.
+per batch and leave out the rest, so a repeated batch is read once. A stream with a new
+checkpoint numbers its batches from 0 again; commits carry the stream, and of snapshots that
+of the stream which was first committed last is the newest.
 """
 
 import uuid
@@ -25,6 +27,7 @@ def append_attempt(
     append: Append,
     beside: dict[str, DataFrame] | None = None,
     snapshot: bool = False,
+    stream: str = "",
 ) -> None:
     """Store one attempt with ``append(rows, table name)``.
 
@@ -40,16 +43,20 @@ def append_attempt(
         F.lit(attempt).alias("attempt"),
         F.current_timestamp().alias("committed_at"),
         F.lit(snapshot).alias("snapshot"),
+        F.lit(stream).alias("stream"),
     )
     append(commit, commits_table(table))
 
 
 def committed_rows(rows: DataFrame, commits: DataFrame) -> DataFrame:
     """Rows of the first committed attempt of each batch; of snapshots the newest only."""
-    winners = commits.groupBy("batch_id", "snapshot").agg(
+    winners = commits.groupBy("stream", "batch_id", "snapshot").agg(
         F.min_by("attempt", "committed_at").alias("attempt")
     )
-    newest = F.max(F.when(F.col("snapshot"), F.col("batch_id"))).over(Window.partitionBy())
-    winners = winners.withColumn("newest", newest).where("NOT snapshot OR batch_id = newest")
-    kept = rows.join(winners, ["batch_id", "attempt"], "left_semi")
+    began = commits.groupBy("stream").agg(F.min("committed_at").alias("began"))
+    winners = winners.join(began, "stream")
+    place = F.struct("began", "stream", "batch_id")
+    newest = F.max(F.when(F.col("snapshot"), place)).over(Window.partitionBy())  # one row per batch
+    winners = winners.withColumn("newest", newest).where(~F.col("snapshot") | (place == F.col("newest")))
+    kept = rows.join(winners, "attempt", "left_semi")
     return kept.drop("batch_id", "attempt")

@@ -1,12 +1,16 @@
 from datetime import datetime
+from fractions import Fraction
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import quotelane as ql
 from catalog.mapping import event_quotes
 from conftest import SMALL, rows_of
 from quotelane.functions.windows import micros, pane
+from quotelane.operators.aggregates import BITS, FINE, LIMBS, averages_from_cells, stats_from_cells
 from quotelane.schema import ROUTE
 
 T0 = "2024-01-01T00:00:00"
@@ -96,8 +100,6 @@ def test_slide_equal_to_window_is_tumbling(spark):
 
 
 def test_reports_from_merged_cells_equal_the_direct_ones(spark):
-    from quotelane.operators.aggregates import averages_from_cells, stats_from_cells
-
     df = event_quotes(spark, SMALL)
     cells = ql.fare_cells(df, window="1 hour")
     assert rows_of(stats_from_cells(ql.merge_cells(cells, ROUTE))) == rows_of(ql.route_stats(df, "1 hour"))
@@ -121,3 +123,52 @@ def test_only_needed_columns_are_read(spark):
     plan = ql.route_stats(event_quotes(spark, SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in plan
     assert "partial_sum" in plan
+
+
+@pytest.mark.parametrize(
+    "prices",
+    [
+        [8e24, 8e24], [9.9e27] * 40 + [0.01], [1e28, 2e28], [1e300, 1e300, 5.0], [1.5e308, 1.5e308, -1.5e308],
+        [1.7e308] * 9, [-8e24, 3.5, 8e24], [-0.01, -0.02, -1e12], [1e-12, 3e-12, 2.5], [123456789012.34, 0.01, 1 / 3] * 7,
+    ],
+)
+def test_prices_of_any_size_never_fail(quotes, prices):
+    def average(order, parts):
+        rows = quotes([("A", "B", f"x{k % 3}", p, T0) for k, p in enumerate(order)]).repartition(parts)
+        direct = ql.route_stats(rows).first().avg_price
+        merged = stats_from_cells(ql.merge_cells(ql.fare_cells(rows), ROUTE)).first().avg_price
+        assert merged == direct
+        return direct
+
+    found = {average(prices, 1), average(prices[::-1], 3), average(sorted(prices), 5)}
+    assert len(found) == 1
+    true = float(sum(map(Fraction, prices)) / len(prices)) if max(map(abs, prices)) < 1e28 else None
+    assert true is None or found.pop() == pytest.approx(true, rel=1e-15, abs=1e-15)
+
+
+def test_merged_cells_beyond_64_bits(spark, quotes):
+    cells = ql.fare_cells(quotes([("A", "B", "x", 1.0, T0)]))
+    most = F.lit(9_200_000_000_000_000_000).cast("bigint")
+    for name in (*LIMBS, *FINE):
+        full = cells.withColumn(name, most)
+        many = full.unionAll(full).unionAll(full).unionAll(full)
+        twice = ql.merge_cells(ql.merge_cells(many, [*ROUTE, "airline"]), ROUTE)
+        one = ql.merge_cells(full, ROUTE).first()
+        again = ql.merge_cells(ql.merge_cells(many, ROUTE).unionAll(ql.merge_cells(many, ROUTE)), ROUTE)
+        for merged, copies in ((twice, 4), (again, 8)):
+            row = stats_from_cells(merged).first()
+            single = stats_from_cells(spark.createDataFrame([one], merged.schema)).first()
+            assert row.avg_price == pytest.approx(single.avg_price, rel=1e-12) and row.flight_count == copies
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(
+    st.floats(-1e27, 1e27), st.integers(-10**7, 10**7).map(lambda n: n / 100), st.floats(-1, 1)), min_size=1, max_size=12))
+def test_sums_are_exact(quotes, prices):
+    cells = ql.fare_cells(quotes([("A", "B", "x", p, T0) for p in prices])).first()
+    cents = sum(cells[name] << (BITS * k) for k, name in enumerate(LIMBS))
+    fine = sum(Fraction(cells[name]) * Fraction(2) ** (BITS * k - 67) for k, name in enumerate(FINE))
+    total = Fraction(cents, 100) + fine 
+    close = max(sum(abs(Fraction(p)) for p in prices) / 10**15, Fraction(1, 10**18))
+    assert abs(total - sum(map(Fraction, prices))) <= close
+    assert cells["sum_rest"] == 0

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from quotelane.jobs import batch, publish, report, stream
@@ -78,23 +79,66 @@ def test_batch_job_splits_a_database_scan(monkeypatch):
     assert seen == {"column": "timestamp", "lower": "2024-01-01", "upper": "2024-02-01", "partitions": 64}
 
 
-def test_stream_job_wires_its_options(spark, tmp_path, monkeypatch):
-    started = []
-    reading = {}
+@pytest.fixture
+def started(spark, tmp_path, monkeypatch):
+    """Runs the stream job without a broker; gives what it started."""
+    Feed(spark, tmp_path).add(payloads([0]))
 
-    def read(spark, servers, topics, **options):
-        reading.update(options, servers=servers, topics=topics)
-        return Feed(spark, tmp_path).messages()
+    def main(*options):
+        calls, reading = [], {}
 
-    monkeypatch.setattr(stream, "read_kafka_stream", read)
-    monkeypatch.setattr(stream.runs, "start_reports", lambda *a: started.append(a))
-    monkeypatch.setattr(stream.runs, "start_archive", lambda *a: started.append(a))
-    monkeypatch.setattr(stream.runs, "await_any", lambda session: started.append("awaited"))
-    Feed(spark, tmp_path).add(payloads([0]))
-    options = ["--servers", "h:1", "--topics", "a", "b", "--store", str(tmp_path / "s"), "--watermark", "1 hour"]
-    stream.main([*options, "--kafka", "maxOffsetsPerTrigger=9"])
+        def read(spark, servers, topics, **options):
+            reading.update(options, servers=servers, topics=topics)
+            return Feed(spark, tmp_path).messages()
+
+        monkeypatch.setattr(stream, "read_kafka_stream", read)
+        for name in ("start_reports", "start_archive", "start_cells", "start_all"):
+            monkeypatch.setattr(stream.runs, name, lambda *a, name=name, **k: calls.append((name, a, k)))
+        monkeypatch.setattr(stream.runs, "await_any", lambda session: calls.append(("awaited",)))
+        stream.main(["--servers", "h:1", "--topics", "a", "b", *options])
+        return reading, calls
+
+    return main
+
+
+def test_stream_job_wires_its_options(started, tmp_path):
+    at = ["--store", str(tmp_path / "s")]
+    reading, (reports, archive, last) = started(*at, "--watermark", "1 hour", "--kafka", "maxOffsetsPerTrigger=9")
     assert reading == {"servers": "h:1", "topics": ["a", "b"], "starting_offsets": "latest", "maxOffsetsPerTrigger": "9"}
-    reports, archive, last = started
-    assert reports[3:] == ("30 minutes", None, "1 hour", {"processingTime": "1 minute"})
-    assert reports[2].endswith("/quotelane/streams") and archive[2] == reports[2]
-    assert last == "awaited"
+    assert reports[0] == "start_reports" and archive[0] == "start_archive" and last == ("awaited",)
+    assert reports[1][3:] == ("30 minutes", None, "1 hour", {"processingTime": "1 minute"})
+    assert reports[1][2].endswith("/quotelane/streams") and archive[1][2] == reports[1][2]
+
+
+@pytest.mark.parametrize(
+    "options, names",
+    [
+        ([], ["start_all"]),
+        (["--slide", "10 minutes"], ["start_all"]),
+        (["--slide", "29 minutes"], ["start_reports", "start_archive"]),
+        (["--reports"], ["start_reports", "start_archive"]),
+        (["--changed-cells"], ["start_cells", "start_archive"]),
+        (["--store", "jdbc:x"], ["start_reports", "start_archive"]),
+    ],
+)
+def test_stream_job_chooses_how_reports_are_kept(started, tmp_path, options, names):
+    _, calls = started("--store", str(tmp_path / "s"), *options)
+    assert [c[0] for c in calls] == [*names, "awaited"]
+
+
+def test_batch_and_report_after_a_stream_of_sums(spark, tmp_path, capsys):
+    from quotelane.streaming import runs
+
+    feed, store = Feed(spark, tmp_path), ParquetStore(str(tmp_path / "store"))
+    feed.add(payloads(range(0, 60)))
+    now = {"availableNow": True}
+    runs.start_all(feed.quotes(), store, str(tmp_path / "c"), "10 minutes", trigger=now).awaitTermination()
+    batch.main(["--store", store.root])
+    metrics = {row.query_type: row for row in store.read(spark, "comparison_metrics").collect()}
+    assert metrics["route_stats"].streaming_result_count == 12
+    assert metrics["route_stats"].streaming_execution_time > 0
+    report.main(["--store", store.root, "--output", str(tmp_path / "out")])
+    assert "JFK-LAX" in capsys.readouterr().out
+    trends = spark.read.parquet(str(tmp_path / "out" / "price_trends")).orderBy("row_number").collect()
+    assert [r.row_number for r in trends] == list(range(1, 13))
+    assert [(r.route, r.window_start) for r in trends] == sorted((r.route, r.window_start) for r in trends)

@@ -1,4 +1,5 @@
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timezone
 from decimal import Decimal
 
 import pytest
@@ -10,8 +11,8 @@ from quotelane.plans.batch_run import batch_reports, run_batch, run_comparison
 from quotelane.schema import TABLES
 from quotelane.session import materialize, scratch_root
 from quotelane.sinks.attempts import append_attempt, committed_rows, commits_table
-from quotelane.sinks.batches import read_results, write_batch, write_snapshot
 from quotelane.sinks.columns import conform, database_types
+from quotelane.sinks.folders import FOLDER, FolderTable, Generation
 from quotelane.sinks.stores import JdbcStore, ParquetStore
 from quotelane.sources.jdbc import read_jdbc, split_options
 from quotelane.sources.kafka import kafka_options
@@ -78,33 +79,192 @@ def test_backfill_beside_a_stream(spark, quotes, tmp_path):
     assert store.read(spark, "raw_flight_prices").count() == 2
 
 
+def live(table):
+    return [entry.folder for entry in table.current().live]
+
+
+def on_disk(path):
+    return {p.name.removeprefix(f"{FOLDER}=") for p in path.iterdir() if p.name.startswith(FOLDER)}
+
+
 def test_repeated_batch_adds_no_rows(spark, tmp_path):
-    path = str(tmp_path / "t")
-    write_batch(spark.range(3), path, 0)
-    write_batch(spark.range(10, 12), path, 1)
-    write_batch(spark.range(10, 12), path, 1)
-    assert rows_of(read_results(spark, path)) == [(0,), (1,), (10,), (11,), (2,)]
-
-
-def test_newest_committed_snapshot_is_read(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    write_snapshot(spark.range(1), path, 0)
-    reader = read_results(spark, path)
-    for batch_id in range(1, 6):
-        write_snapshot(spark.range(batch_id + 1), path, batch_id)
-        write_snapshot(spark.range(batch_id + 1), path, batch_id)
-        assert read_results(spark, path).count() == batch_id + 1
+    table = FolderTable(spark, str(tmp_path / "t"))
+    assert table.read() is None
+    assert table.add(spark.range(3), "s", 0) and table.add(spark.range(10, 12), "s", 1)
+    assert not table.add(spark.range(10, 12), "s", 1) and not table.add(spark.range(3), "s", 0)
+    assert table.add(spark.range(1), "another", 0)
+    assert rows_of(table.read()) == [(0,), (0,), (1,), (10,), (11,), (2,)]
+
+
+def test_a_failure_before_the_list_is_written_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    table = FolderTable(spark, str(tmp_path / "t"), fan=3)
+    for batch in range(2):
+        table.add(spark.range(batch, batch + 1), "s", batch)
+
+    def failing(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(FolderTable, "_change", failing)
+    with pytest.raises(OSError):
+        table.add(spark.range(2, 3), "s", 2)
+    assert rows_of(table.read()) == [(0,), (1,)]
+    monkeypatch.undo()
+    table.add(spark.range(2, 3), "s", 2)  # the stream repeats it; now three folders are merged
+    assert rows_of(table.read()) == [(0,), (1,), (2,)] and len(live(table)) == 1
+    assert len(on_disk(tmp_path / "t")) == 5  # the merged, the three before, the lost one
+    assert not table.add(spark.range(2, 3), "s", 2)  # known, though its folder is merged
+
+
+def test_a_merge_that_fails_halfway_changes_nothing(spark, tmp_path, monkeypatch):
+    table = FolderTable(spark, str(tmp_path / "t"), fan=2)
+    table.add(spark.range(1), "s", 0)
+    before = rows_of(table.read())
+
+    def failing(rows):
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        table.add(spark.range(1, 2), "s", 1, merge=failing)
+    assert before == [(0,)] and rows_of(table.read()) == [(0,), (1,)] and len(live(table)) == 2
+    assert not table.add(spark.range(1, 2), "s", 1)
+    table.compact()
+    assert rows_of(table.read()) == [(0,), (1,)] and len(live(table)) == 1
+
+
+def test_folders_and_lists_stay_few_over_many_batches(spark, tmp_path):
+    table = FolderTable(spark, str(tmp_path / "t"), readers=0, fan=5)
+    for batch in range(60):
+        reader = table.read()
+        table.add(spark.range(batch, batch + 1).coalesce(1), "s", batch)
+        if batch in (5, 25):
+            assert reader.count() == batch or reader is None
+    assert rows_of(table.read()) == sorted([(b,) for b in range(60)], key=str)
+    assert len(live(table)) <= 4 * 3 and len(on_disk(tmp_path / "t")) <= 4 * 3 + 6
+    lists = [p for p in (tmp_path / "t" / "_generations").iterdir() if p.name.isdigit()]
+    assert len(lists) <= 4
+
+
+def test_readers_keep_the_files_they_found(spark, tmp_path):
+    table = FolderTable(spark, str(tmp_path / "t"), fan=2)
+    table.add(spark.range(1), "s", 0)
+    reader = table.read()
+    for batch in range(1, 6):
+        table.add(spark.range(batch, batch + 1), "s", batch)
+    assert reader.count() == 1 and table.read().count() == 6
+
+
+def test_large_folders_are_not_rewritten(spark, tmp_path):
+    table = FolderTable(spark, str(tmp_path / "t"), fan=2, settled=1)
+    for batch in range(4):
+        table.add(spark.range(batch, batch + 1), "s", batch)
+    assert len(live(table)) == 4 and table.read().count() == 4
+
+
+def test_newest_snapshot_is_read(spark, tmp_path):
+    table = FolderTable(spark, str(tmp_path / "t"))
+    table.replace(spark.range(1), "s", 0)
+    reader = table.read()
+    for batch in range(1, 6):
+        assert table.replace(spark.range(batch + 1), "s", batch)
+        assert not table.replace(spark.range(99), "s", batch)
+        assert table.read().count() == batch + 1
     assert reader.count() == 1  # its files are still there
-    spark.range(99).write.parquet(f"{path}_snapshots/000000000009-failed")  # not committed
-    assert read_results(spark, path).count() == 6
+    spark.range(99).write.parquet(str(tmp_path / "t" / f"{FOLDER}=lost"))  # in no list
+    assert table.read().count() == 6
 
 
 def test_snapshots_without_readers_are_deleted(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for batch_id in range(4):
-        write_snapshot(spark.range(batch_id + 1), path, batch_id, readers=0)
-    assert len(list((tmp_path / "t_snapshots").iterdir())) == 1
-    assert read_results(spark, path).count() == 4
+    table = FolderTable(spark, str(tmp_path / "t"), readers=0)
+    for batch in range(4):
+        table.replace(spark.range(batch + 1), "s", batch)
+    assert len(on_disk(tmp_path / "t")) <= 2 and table.read().count() == 4
+
+
+def test_a_new_checkpoint_comes_after_the_old_one(spark, tmp_path):
+    table = FolderTable(spark, str(tmp_path / "t"))
+    for batch in range(5):
+        table.replace(spark.range(batch + 1), "old", batch)
+    table.replace(spark.range(100), "new", 0)
+    assert table.read().count() == 100
+    with pytest.raises(ValueError):  # the old stream goes on beside the new one
+        table.replace(spark.range(7), "old", 5)
+    assert table.read().count() == 100
+
+
+def test_a_new_checkpoint_comes_after_the_old_one_in_a_database(spark, database):
+    store = JdbcStore("jdbc:x")
+    for batch in range(3):
+        store.replace(spark.range(batch + 1), "t", batch, "old")
+    store.replace(spark.range(50), "t", 0, "new")
+    store.replace(spark.range(50), "t", 0, "new")
+    assert store.read(spark, "t").count() == 50
+
+
+def test_writers_of_one_table_do_not_lose_each_other(spark, tmp_path, monkeypatch):
+    ours, theirs = (FolderTable(spark, str(tmp_path / "t")) for _ in range(2))
+    ours.add(spark.range(1), "s", 0)
+    create = ours.lists.create
+    raced = []
+
+    def late(name, text):
+        if not raced:  # another writer takes the number first
+            raced.append(theirs.add(spark.range(5, 6)))
+        return create(name, text)
+
+    monkeypatch.setattr(ours.lists, "create", late)
+    ours.add(spark.range(1, 2), "s", 1)
+    assert raced == [True] and rows_of(ours.read()) == [(0,), (1,), (5,)]
+
+
+def test_a_list_that_was_not_written_in_full_is_passed_over(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("quotelane.sinks.folders.WRITING_SECONDS", 0.3)
+    table = FolderTable(spark, str(tmp_path / "t"))
+    table.add(spark.range(2), "s", 0)
+    table.lists.create("000000000002", table.current().text()[:-20])
+    assert table.read().count() == 2
+    table.add(spark.range(2), "s", 1)
+    assert table.current().number == 3 and table.read().count() == 4
+    assert Generation.parsed(table.current().text()) == table.current()
+
+
+def test_recent_rows_open_recent_folders_only(spark, tmp_path):
+    store = ParquetStore(str(tmp_path), fan=1000)
+    table = store.table(spark, "t")
+    table.add(spark.range(1), "s", 0)
+
+    def many(state):
+        old = state.live[0]
+        state.live = [replace(old, first=60.0 * k, last=60.0 * k + 30) for k in range(1000)]
+        return True
+
+    table._change(many)
+    recent = store.read(spark, "t", since=60.0 * 940)
+    assert len(store.read(spark, "t", since=60.0 * 5000).inputFiles()) == 0
+    opened = [e for e in table.current().live if e.last >= 60.0 * 940]
+    assert len(opened) == 60 and len(recent.inputFiles()) <= 60 * len(list((tmp_path / "t").rglob("*.parquet")))
+
+
+def test_comparison_opens_the_folders_of_its_hour(spark, quotes, tmp_path, monkeypatch):
+    store = ParquetStore(str(tmp_path), fan=1000)
+    report = conform(route_stats(quotes([("A", "B", "x", 1.0, T0)]), "1 hour"), "route_stats")
+    for batch in range(4):
+        store.append_batch(report, "route_stats", batch, "s")
+    table = store.table(spark, "route_stats")
+
+    def age(state):
+        for hours, entry in zip((30, 20, 10, 0), state.live):
+            entry.first, entry.last = entry.first - 3600 * hours, entry.last - 3600 * hours
+        return True
+
+    table._change(age)
+    seen = []
+    read = FolderTable._open
+    monkeypatch.setattr(FolderTable, "_open", lambda t, state, entries: seen.append(
+        (t.path.rsplit("/", 1)[1], len(entries))) or read(t, state, entries))
+    run_comparison(spark, store, 1.0)
+    assert ("route_stats", 1) in seen and ("route_stats", 4) not in seen
+    run_comparison(spark, store, 1.0, datetime.now(timezone.utc), "12 hours")
+    assert ("route_stats", 2) in seen
 
 
 def test_uncommitted_and_repeated_attempts_are_not_read(spark, tmp_path):

@@ -8,7 +8,8 @@ import quotelane as ql
 from conftest import rows_of
 from quotelane.functions.codec import decode_quotes
 from quotelane.operators.ranking import cheapest
-from quotelane.schema import QUOTE, ROUTE
+from quotelane.schema import QUOTE, ROUTE, TABLES
+from quotelane.sinks.folders import FOLDER
 from quotelane.sinks.stores import ParquetStore
 from quotelane.streaming import runs
 
@@ -134,6 +135,102 @@ def test_changed_cells_give_the_same_reports(spark, feed, store, tmp_path):
     assert rows_of(ql.merge_cells(cells, ROUTE).agg(F.sum("flight_count"))) == [(feed.all_quotes().count(),)]
 
 
+def test_few_versions_of_a_cell_are_read_after_many_batches(spark, feed, tmp_path):
+    store = ParquetStore(str(tmp_path / "store"), readers=0, fan=4)
+    for k in range(30):
+        feed.add(payloads([k % 3, 30]))
+    checkpoints = str(tmp_path / "checkpoints")
+    runs.start_cells(feed.quotes(), store, checkpoints, "10 minutes", trigger=NOW).awaitTermination()
+    versions = store.read(spark, runs.VERSIONS)
+    assert versions.groupBy(*runs.CELL_KEYS, "window_start").count().agg(F.max("count")).first()[0] <= 3 * 3
+    assert len({f.split(FOLDER)[1].split("/")[0] for f in versions.inputFiles()}) <= 3 * 3
+    for table, report in runs.window_reports(runs.latest_cells(versions)).items():
+        assert rows_of(report) == rows_of(expected(feed.all_quotes())[table]), table
+
+
+@pytest.mark.parametrize("slide", [None, "5 minutes"])
+def test_one_read_serves_the_archive_and_all_reports(spark, feed, tmp_path, slide):
+    store = ParquetStore(str(tmp_path / "store"), fan=3)
+    for k in range(7):
+        feed.add([*payloads([k * 4, k]), "garbage"])
+    checkpoints = str(tmp_path / "checkpoints")
+    messages = decode_quotes(feed.messages(), keep_damaged=True)
+    for _ in range(2):
+        query = runs.start_all(messages, store, checkpoints, "10 minutes", slide, NOW)
+        query.awaitTermination()
+        if len(query.recentProgress) and query.lastProgress:
+            assert len(query.lastProgress["sources"]) == 1 and not query.lastProgress["stateOperators"]
+        feed.add(payloads([2]))  # late quotes count
+    query = runs.start_all(messages, store, checkpoints, "10 minutes", slide, NOW)
+    query.awaitTermination()
+    for table, report in expected(feed.all_quotes(), slide).items():
+        found = runs.stored_report(spark, store, table)
+        assert found.columns == list(TABLES[table])
+        assert rows_of(found.drop("created_at")) == rows_of(report), table
+    assert store.read(spark, "raw_flight_prices").count() == feed.all_quotes().count()
+    unreadable = store.read(spark, "raw_flight_prices_unreadable")
+    assert {tuple(r) for r in unreadable.select("payload", "reason").collect()} == {(b'"garbage"', "unreadable payload")}
+    assert unreadable.count() == 7
+    assert len(store.table(spark, runs.CELL_SUMS).current().live) <= 4
+
+
+def test_a_failure_between_two_tables_repeats_only_the_rest(spark, feed, tmp_path, monkeypatch):
+    store = ParquetStore(str(tmp_path / "store"))
+    feed.add(payloads([0, 1]))
+    feed.add(payloads([11]))
+    checkpoints = str(tmp_path / "checkpoints")
+    written = []
+    add = ParquetStore.append_batch
+
+    def failing(self, df, table, batch_id, *rest):
+        if table == runs.CELL_SUMS and batch_id == 1 and written.count((table, 1)) == 0:
+            written.append((table, 1))
+            raise OSError("lost between two tables")
+        before = self.changed_at(df.sparkSession, table)
+        add(self, df, table, batch_id, *rest)
+        if self.changed_at(df.sparkSession, table) != before:
+            written.append((table, batch_id))
+
+    monkeypatch.setattr(ParquetStore, "append_batch", failing)
+    with pytest.raises(Exception, match="lost between two tables"):
+        runs.start_all(feed.quotes(), store, checkpoints, "10 minutes", trigger=NOW).awaitTermination()
+    assert store.read(spark, "raw_flight_prices").count() == 18
+    runs.start_all(feed.quotes(), store, checkpoints, "10 minutes", trigger=NOW).awaitTermination()
+    assert written.count(("raw_flight_prices", 1)) == 1 and written.count((runs.CELL_SUMS, 1)) == 2
+    assert store.read(spark, "raw_flight_prices").count() == 18
+    report = runs.stored_report(spark, store, "route_stats").drop("created_at")
+    assert rows_of(report) == rows_of(expected(feed.all_quotes())["route_stats"])
+
+
+def test_uneven_windows_are_refused_before_anything_is_stored(feed, store, tmp_path):
+    feed.add(payloads([0]))
+    with pytest.raises(ValueError):
+        runs.start_all(feed.quotes(), store, str(tmp_path / "c"), "60 minutes", "59 minutes", NOW)
+
+
+def test_unreadable_payloads_are_kept_once(spark, feed, store, tmp_path):
+    feed.add(payloads([0]))
+    feed.add(["garbage", {"origin": "A", "price_usd": "?"}, {"nothing": 1}])
+    quotes = decode_quotes(feed.messages(), keep_damaged=True)
+    for _ in range(2):
+        runs.start_archive(quotes, store, str(tmp_path / "checkpoints"), NOW).awaitTermination()
+    kept = store.read(spark, "raw_flight_prices_unreadable")
+    assert rows_of(kept, "reason", F.col("payload").cast("string")) == [
+        ("unreadable field", '{"origin": "A", "price_usd": "?"}'), ("unreadable payload", '"garbage"')]
+    assert store.read(spark, "raw_flight_prices").count() == 9
+
+
+def test_a_new_checkpoint_on_an_old_store(spark, feed, store, tmp_path):
+    feed.add(payloads([0]))
+    feed.add(payloads([1]))
+    run(feed, store, tmp_path)
+    feed.add(payloads([2]))
+    query = runs.start_reports(feed.quotes(), store, str(tmp_path / "new"), "10 minutes", trigger=NOW, fit=unchanged)
+    query.awaitTermination()
+    for table, report in expected(feed.all_quotes()).items():
+        assert rows_of(stored(store, spark, table)) == rows_of(report), table
+
+
 def test_archive_holds_every_message_even_unreadable_ones(spark, feed, store, tmp_path):
     feed.add(payloads([0, 1]))
     feed.add([{"nothing": 1}, "garbage"])
@@ -173,7 +270,7 @@ def test_stored_files_are_few_and_adaptive_execution_is_restored(spark, feed, st
         return df
 
     run(feed, store, tmp_path, fit=watching)
-    files = list((tmp_path / "store" / "route_stats_snapshots").rglob("*.parquet"))
+    files = list((tmp_path / "store" / "route_stats").rglob("*.parquet"))
     assert len(files) == 2  # one per snapshot, not one per shuffle partition
     assert seen[-1].conf.get("spark.sql.adaptive.enabled") == "false"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
@@ -183,7 +280,7 @@ def test_one_report_only(spark, feed, store, tmp_path):
     feed.add(payloads([0, 1]))
     run(feed, store, tmp_path, tables=["price_trends"])
     names = {path.name for path in (tmp_path / "store").iterdir()}
-    assert names == {"price_trends_snapshots", "price_trends_commits", "stream_times"}
+    assert names == {"price_trends", "stream_times"}
 
 
 def test_stream_time_covers_batches_that_spark_no_longer_reports(spark, feed, store, tmp_path):
