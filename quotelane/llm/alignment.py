@@ -22,9 +22,10 @@ table gives an empty result.
 """
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, count
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,8 @@ class Pair:
     """A byte-level tokenizer (A) and a SentencePiece model (B)."""
 
     def __init__(self, byte_file: str, piece_file: str):
+        # Spark's tasks share the cores already; the library's own threads would only contend.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(byte_file)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
@@ -70,6 +73,7 @@ class Pair:
             if all(c in byte_of for c in token):
                 self.a_bytes[i] = bytes(byte_of[c] for c in token)
         self.b_bytes = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
+        self.a_sizes, self.b_sizes = [len(b) for b in self.a_bytes], [len(b) for b in self.b_bytes]
         self.a_names = [f"{i}|" for i in range(len(self.a_bytes))]
         self.b_names = [str(i) for i in range(len(self.b_bytes))]
 
@@ -90,26 +94,26 @@ class Pair:
             else:
                 yield ids_a, ids_b
 
-    def slices(self, ids_a: list[int], ids_b: list[int]) -> list[tuple[int, int]]:
+    def slices(self, ids_a: list[int], ids_b: list[int]) -> Iterator[tuple[int, int]]:
         """Where each group ends in both lists."""
-        ends_a = accumulate([len(self.a_bytes[i]) for i in ids_a])
-        ends_b = accumulate([len(self.b_bytes[i]) for i in ids_b])
-        at_a = dict(zip(ends_a, range(1, len(ids_a) + 1)))
-        at_b = dict(zip(ends_b, range(1, len(ids_b) + 1)))
-        return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
+        ends_a = accumulate(map(self.a_sizes.__getitem__, ids_a))
+        ends_b = accumulate(map(self.b_sizes.__getitem__, ids_b))
+        at_a, at_b = dict(zip(ends_a, count(1))), dict(zip(ends_b, count(1)))
+        common = sorted(at_a.keys() & at_b.keys())
+        return zip(map(at_a.__getitem__, common), map(at_b.__getitem__, common))
 
     def links(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
         """The overlapping pairs of one slice."""
         found, i, j = [], 0, 0
-        end_a, end_b = len(self.a_bytes[a[0]]), len(self.b_bytes[b[0]])
+        end_a, end_b = self.a_sizes[a[0]], self.b_sizes[b[0]]
         while True:
             found.append((a[i], b[j]))
             if end_a < end_b:
                 i += 1
-                end_a += len(self.a_bytes[a[i]])
+                end_a += self.a_sizes[a[i]]
             elif end_b < end_a:
                 j += 1
-                end_b += len(self.b_bytes[b[j]])
+                end_b += self.b_sizes[b[j]]
             else:  # the end of the slice: no other end is common
                 return found
 
