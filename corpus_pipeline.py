@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import mixing, pieces, quality, secret_scan, similar
+from quotelane.llm import mixing, pieces, quality, secret_scan, simhash
 from quotelane.session import materialize
 
 MODEL = "piece_bpe_32k.model"
@@ -20,9 +20,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (word 5-shingles, Jaccard 0.8) stays,
-    the one with the smallest id."""
-    return similar.without_similar(docs)
+    """One document of each component of fingerprints within two bits (3-word shingles)
+    stays, the one with the smallest id; of rows with that id one, and of null ids one. Texts
+    without words share a fingerprint, so one of them stays."""
+    return simhash.without_near_duplicates(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
