@@ -7,7 +7,7 @@ pseudonyms in every document, whatever their separators; different values stay d
 
 | kind | validated by | permuted | kept |
 | --- | --- | --- | --- |
-| email | pattern | letters and digits before the @, each within its kind | all else |
+| email | pattern, at most 64 characters before the @ and 255 after it | letters and digits before the @, each within its kind | all else |
 | ip | octets to 255 | the 32 bits | dots |
 | iban | check digits modulo 97 | account part, check digits renewed | country |
 | card | check digit (Luhn), 13 to 19 digits | digits, check digit renewed | separators |
@@ -17,14 +17,17 @@ pseudonyms in every document, whatever their separators; different values stay d
 
 Where kinds overlap the earlier one in this table wins. Groups of digits beside a number may
 look like a part of it, so cards, IBANs and phones are sought at all borders of groups within
-such a run. Numbers that fail validation everywhere are left alone. Defined results: a null text stays null and has no finds; repeated rows are
-treated alike; an empty table gives an empty result.
+such a run. Numbers that fail validation everywhere are left alone. Defined results: a null
+text stays null and has no finds; a very long text takes time in proportion to its length,
+whatever its runs of letters and digits; repeated rows are treated alike; an empty table gives
+an empty result.
 """
 
 import datetime
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +38,6 @@ ROUNDS = 8
 EXAMPLE_KEY = b"quotelane example key"
 
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]*[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9])",
     "card": r"(?<![\w.+-])\d++(?:[ -]\d++)*(?![\w-])",
@@ -45,6 +47,10 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?!\w)"
              r"|(?<![\w+])\+\d++(?:[ ./-]?(?:\(\d++\)|(?<!\d)\d++))*",
 }
+#: What stands before and after the @ of an address, and the most characters of each.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+LOCAL_MOST, DOMAIN_MOST = 64, 255
 #: Lengths of IBANs.
 IBAN_LENGTHS = {
     length: set(countries.split()) for length, countries in {
@@ -210,18 +216,25 @@ def _iban_spans(text: str, start: int, stop: int) -> list[tuple[int, int]]:
 
 
 def _card_spans(text: str, start: int, stop: int) -> list[tuple[int, int]]:
-    """Neighbouring groups of 13 to 19 digits; usual groupings first, then the longest."""
+    """Neighbouring groups of 13 to 19 digits with a right check digit; usual groupings
+    first, then the longest."""
     groups = [(m.start(), m.end()) for m in re.compile(r"\d+").finditer(text, start, stop)]
+    digits = [int(c) for a, b in groups for c in text[a:b]]
+    # Sums of the digits so far, those at even or at odd places doubled.
+    doubled = [[0, *accumulate(d * 2 // 10 + d * 2 % 10 if k % 2 == odd else d for k, d in enumerate(digits))]
+               for odd in (0, 1)]
+    ends = list(accumulate(b - a for a, b in groups))
     out = []
-    for i, (first, _) in enumerate(groups):
-        digits, sizes = 0, []
-        for a, b in groups[i:]:
-            digits, sizes = digits + b - a, [*sizes, b - a]
-            if digits > 19:
+    for i, (first, last) in enumerate(groups):
+        before, sizes = ends[i] - (last - first), []
+        for (a, b), end in zip(islice(groups, i, i + 19), islice(ends, i, i + 19)):
+            n, sizes = end - before, [*sizes, b - a]
+            if n > 19:
                 break
-            if digits >= 13:
+            sums = doubled[end % 2]  # the last digit counts once, the one before it twice
+            if n >= 13 and (sums[end] - sums[before]) % 10 == 0:
                 usual = len(sizes) == 1 or set(sizes[:-1]) == {4} and sizes[-1] <= 4 or sizes == [4, 6, 5]
-                out.append((not usual, -digits, first, b))
+                out.append((not usual, -n, first, b))
     return [(first, end) for _, _, first, end in sorted(out)]
 
 
@@ -243,21 +256,46 @@ SPANS: dict[str, Callable[[str, int, int], list[tuple[int, int]]]] = {
     "iban": _iban_spans, "card": _card_spans, "phone": _phone_spans}
 
 
-def found_in(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
-    """Finds of a text in order: (start, end, kind, pseudonym)."""
-    out: list[tuple[int, int, str, str]] = []
-    digits = re.search(r"\d", text) is not None
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses in order, each from its @ to the left and to the right."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > free and text[start - 1] in LOCAL:
+            start -= 1
+        domain = DOMAIN.match(text, at + 1)
+        if domain and at - start <= LOCAL_MOST and domain.end() - at - 1 <= DOMAIN_MOST \
+                and any(c.isalnum() for c in text[start:at]):
+            yield start, domain.end()
+            free = domain.end()
+        else:
+            free = at + 1
+        at = text.find("@", free)
+
+
+def _candidates(text: str) -> Iterator[tuple[str, int, int]]:
+    """Places that may hold a value, those of earlier kinds first."""
+    for start, end in _emails(text):
+        yield "email", start, end
+    if re.search(r"\d", text) is None:
+        return
     for kind, pattern in PATTERNS.items():
-        if "@" not in text if kind == "email" else not digits:
-            continue
         for match in re.finditer(pattern, text):
             spans = SPANS[kind](text, *match.span()) if kind in SPANS else [match.span()]
             for start, end in spans:
-                if any(a < end and start < b for a, b, _, _ in out):
-                    continue
-                new = REPLACE[kind](text[start:end], key)
-                if new is not None:
-                    out.append((start, end, kind, new))
+                yield kind, start, end
+
+
+def found_in(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
+    """Finds of a text in order: (start, end, kind, pseudonym)."""
+    out: list[tuple[int, int, str, str]] = []
+    taken = bytearray(len(text))
+    for kind, start, end in _candidates(text):
+        if taken.find(1, start, end) < 0:
+            new = REPLACE[kind](text[start:end], key)
+            if new is not None:
+                out.append((start, end, kind, new))
+                taken[start:end] = b"\1" * (end - start)
     return sorted(out)
 
 

@@ -1,7 +1,10 @@
+import random
 import re
+import time
 
 import pytest
 
+from quotelane.llm import pseudonyms
 from quotelane.llm import pseudonyms as p
 
 KEY = b"k"
@@ -79,3 +82,55 @@ def test_frame(spark):
     assert by_id[1]["text"] is None and by_id[2]["text"] == "" and by_id[None]["text"] == "x " * 50_000
     assert by_id[3]["spans"] == "email:5:13,ip:17:25" and "a.b@" not in by_id[3]["text"]
     assert p.pseudonymised(docs.where("false")).collect() == []
+
+
+def slow_finds(text):
+    """Finds by trying every candidate against every other, as the table of kinds says."""
+    email = r"[A-Za-z0-9._%+-]*[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+    places = [("email", *m.span()) for m in re.finditer(email, text)]
+    for kind, pattern in pseudonyms.PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            if kind != "card":
+                own = pseudonyms.SPANS[kind](text, *m.span()) if kind in pseudonyms.SPANS else [m.span()]
+                places += [(kind, *span) for span in own]
+                continue
+            groups = [g.span() for g in re.compile(r"\d+").finditer(text, *m.span())]
+            cards = []
+            for i in range(len(groups)):
+                for j in range(i, len(groups)):
+                    sizes = [b - a for a, b in groups[i : j + 1]]
+                    if 13 <= sum(sizes) <= 19:
+                        usual = len(sizes) == 1 or set(sizes[:-1]) == {4} and sizes[-1] <= 4 or sizes == [4, 6, 5]
+                        cards.append((not usual, -sum(sizes), groups[i][0], groups[j][1]))
+            places += [("card", a, b) for _, _, a, b in sorted(cards)]
+    out = []
+    for kind, start, end in places:
+        if not any(a < end and start < b for a, b, _, _ in out):
+            new = pseudonyms.REPLACE[kind](text[start:end], b"k")
+            if new is not None:
+                out.append((start, end, kind, new))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("letters", ["0123456789 -", "ab1@.-%", "0123456789 +()-.", "DE0123 ", ("2024", "12", "1", "/", "/", "-", "-", "T10", " ")])
+def test_finds_equal_those_of_trying_everything(letters):
+    rng = random.Random(len(letters))
+    some = 0
+    for _ in range(1500):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+        found = pseudonyms.found_in(text, b"k")
+        assert found == slow_finds(text), repr(text)
+        some += len(found)
+    assert some
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a" * 1_000_000 + "@", "a" * 1_000_000 + "@b.c", "@" * 300_000, "a@" * 300_000, "a@b." * 200_000, "7" * 1_000_000,
+     "7 " * 500_000, "12-" * 300_000, "4111 1111 1111 1111 " * 10_000, "+1" * 300_000, "+49 " + "1 " * 300_000,
+     "a.b" * 300_000 + "@" + "c." * 300_000],
+)
+def test_long_runs_take_linear_time(text):
+    started = time.monotonic()
+    pseudonyms.found_in(text, b"k")
+    assert time.monotonic() - started < 20
