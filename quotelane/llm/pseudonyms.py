@@ -27,7 +27,7 @@ import datetime
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from itertools import accumulate, islice
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -226,15 +226,17 @@ def _card_spans(text: str, start: int, stop: int) -> list[tuple[int, int]]:
     ends = list(accumulate(b - a for a, b in groups))
     out = []
     for i, (first, last) in enumerate(groups):
-        before, sizes = ends[i] - (last - first), []
-        for (a, b), end in zip(islice(groups, i, i + 19), islice(ends, i, i + 19)):
-            n, sizes = end - before, [*sizes, b - a]
+        before = ends[i] - (last - first)
+        for j in range(i, min(i + 19, len(groups))):
+            end = ends[j]
+            n = end - before
             if n > 19:
                 break
             sums = doubled[end % 2]  # the last digit counts once, the one before it twice
             if n >= 13 and (sums[end] - sums[before]) % 10 == 0:
+                sizes = [b - a for a, b in groups[i : j + 1]]
                 usual = len(sizes) == 1 or set(sizes[:-1]) == {4} and sizes[-1] <= 4 or sizes == [4, 6, 5]
-                out.append((not usual, -n, first, b))
+                out.append((not usual, -n, first, groups[j][1]))
     return [(first, end) for _, _, first, end in sorted(out)]
 
 
