@@ -128,10 +128,10 @@ def averages_only(source) -> str:
     return ranks(source, f"{group}, airline, airline_name, avg_price, flight_count")
 
 
-def best(source) -> str:
+def best(source, where: str = "") -> str:
     _, group = averages(source)
     columns = f"{group}, airline, airline_name, avg_price, flight_count"
-    return ranks(source, columns, "WHERE price_rank = 1")
+    return ranks(source, columns, f"WHERE price_rank = 1 {where}")
 
 
 def best_ranked(source, where: str = "") -> str:
@@ -329,6 +329,8 @@ SELECT query_type, CAST(0 AS BIGINT) AS streaming_result_count, n AS batch_resul
        CAST(NULL AS DOUBLE) AS streaming_avg_price, CAST(0 AS DOUBLE) AS price_diff_percentage
 FROM (SELECT 'route_stats' AS query_type, count(*) AS n FROM (SELECT DISTINCT origin, destination FROM q)
       UNION ALL SELECT 'best_airlines', count(*) FROM ({best(EVENTS)}))""",
+    "stream_best_airline_plain": best(E_TUMBLING, f"AND {CLOSED}"),
+    "stream_best_airline_plain_sliding": best(E_SLIDING, f"AND {CLOSED}"),
     "stream_unreadable_payloads": f"""WITH {EVENTS}
 SELECT CASE WHEN airline = 'C0' THEN 'unreadable payload' ELSE 'unreadable field' END AS reason, {TOPIC},
        "timestamp" + INTERVAL '1 second' AS kafka_timestamp,

@@ -26,6 +26,7 @@ from quotelane.sinks.publish import publish_files
 from quotelane.sinks.stores import ARCHIVE, UNREADABLE, ParquetStore
 from quotelane.sources.tables import register_view
 from quotelane.streaming import runs
+from quotelane.streaming.cheapest import best_airline_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 Report = Callable[[DataFrame], DataFrame]
@@ -294,6 +295,20 @@ def all_from_one_read(table: str, slide: str | None = None) -> Query:
     return run
 
 
+def streamed_plainly(slide: str | None = None) -> Query:
+    """The cheapest airlines as a stream in append mode, written by Spark's file sink."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        best = best_airline_stream(event_stream(spark, sf_dir), EVENT_WINDOW, slide, "1 hour")
+        path = scratch_path(spark, "best")
+        writer = best.writeStream.format("parquet").option("path", path)
+        writer = writer.option("checkpointLocation", scratch_path(spark, "checkpoint"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return presented(spark.read.schema(best.schema).parquet(path))
+
+    return run
+
+
 def under_a_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream over a part of the quotes with one checkpoint, then over all with another."""
     store, now = ParquetStore(scratch_path(spark, "epochs")), {"availableNow": True}
@@ -434,6 +449,8 @@ QUERIES: dict[str, Query] = {
     "stream_cells_best_airline": streamed_cells(lambda c: cheapest(averages_from_cells(c))),
     "stream_batch_comparison": stream_against_batch,
     "batch_without_stream": batch_without_stream,
+    "stream_best_airline_plain": streamed_plainly(),
+    "stream_best_airline_plain_sliding": streamed_plainly(EVENT_SLIDE),
     "stream_unreadable_payloads": streamed_unreadable,
     "stream_new_checkpoint": under_a_new_checkpoint,
     "stream_all_archive": all_from_one_read(ARCHIVE),

@@ -57,17 +57,25 @@ def fare_cells(
     append mode; the caller asks for panes in other modes.)
     """
     panes = pane(window, slide) if window else None
+    if panes and not quotes.isStreaming:
+        return merge_cells(fare_cells(quotes, keys, panes), keys, window, slide)
+    return _flatten(window_cells(quotes, keys, window, slide), keys)
+
+
+def window_cells(
+    quotes: DataFrame, keys: list[str], window: str | None = None, slide: str | None = None
+) -> DataFrame:
+    """Cells with their ``window`` as one column, which keeps its event time in a stream."""
+    panes = pane(window, slide) if window else None
     if panes and quotes.isStreaming:
         # Panes keep their event time, so that their watermark closes the windows.
         tiles = _count_quotes(quotes, [*keys, F.window("timestamp", panes).alias("pane")])
         windows = F.window(F.window_time("pane"), window, slide).alias("window")
-        return _flatten(_add_cells(tiles, [*keys, windows]), keys)
-    if panes:
-        return merge_cells(fare_cells(quotes, keys, panes), keys, window, slide)
+        return _add_cells(tiles, [*keys, windows])
     groups: list = list(keys)
     if window:
         groups.append(F.window("timestamp", window, slide).alias("window"))
-    return _flatten(_count_quotes(quotes, groups), keys)
+    return _count_quotes(quotes, groups)
 
 
 def _count_quotes(quotes: DataFrame, groups: list) -> DataFrame:

@@ -41,19 +41,21 @@ def latest_best(best: DataFrame) -> DataFrame:
     start = F.col("window_start")
     priced = F.when(F.col("avg_price").isNotNull(), start)
     names = (
-        best.dropna(subset=keys)
-        .groupBy(*keys, "airline_name")
+        best.groupBy(*keys, "airline_name")
         .agg(F.max(start).alias("newest"), F.max(priced).alias("priced"), F.max_by("avg_price", priced).alias("price"))
     )
     of_airline = Window.partitionBy(*keys)
     named = F.col("airline_name").isNotNull()
     latest_name = of_airline.orderBy(named.desc(), F.desc_nulls_last("newest"), F.desc("airline_name"))
+    # Unknown keys are left out with the rank. A filter of their own would move into one of the
+    # two branches of ``cheapest``, which then could not share one read.
+    known = F.col("origin").isNotNull() & F.col("destination").isNotNull() & F.col("airline").isNotNull()
     return (
         names.select(
             *keys, "airline_name",
             F.max_by("price", "priced").over(of_airline).alias("avg_price"),
             F.max("newest").over(of_airline).alias("window_start"),
-            F.row_number().over(latest_name).alias("place"),
+            F.when(known, F.row_number().over(latest_name)).alias("place"),
         )
         .where("place = 1")
         .select(*keys, "airline_name", "avg_price", "window_start", route_label().alias("route"))

@@ -1,4 +1,6 @@
+import re
 from collections import Counter
+from datetime import datetime
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import quotelane as ql
-from catalog.mapping import event_quotes
+from catalog.mapping import event_quotes, star_quotes
 from conftest import SMALL, rows_of
 from quotelane.operators.ranking import cheapest, rank_averages
 from quotelane.session import materialize
@@ -120,3 +122,33 @@ def test_equal_prices_tie_in_any_order_and_partitioning(quotes, prices, parts, r
     rows = [("A", "B", "x", p, T0) for p in prices] + [("A", "B", "y", p, T0) for p in shuffled]
     best = ql.best_airline(quotes(rows).repartition(parts))
     assert rows_of(best, "airline") == [("x",), ("y",)]
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("window", [None, "30 minutes"])
+def test_the_quotes_are_read_once(spark, window):
+    assert final_plan(ql.best_airline(event_quotes(spark, SMALL), window)).count("FileScan") == 1
+    star = final_plan(ql.best_airline(star_quotes(spark, SMALL), window))
+    tables = re.findall(r"FileScan parquet \[([a-z]+)_", star)
+    assert len(tables) <= 6 and tables.count("l") == tables.count("o") == 1 and "ReusedExchange" in star
+
+
+def test_latest_report_reads_once_and_sorts_no_more_than_names(spark):
+    best = cheapest(ql.airline_averages(event_quotes(spark, SMALL), "30 minutes"))
+    plan = final_plan(ql.latest_best(best))
+    assert "SortAggregate" not in plan and plan.count("FileScan") == 1
+
+
+def test_latest_names_and_prices(spark):
+    at = lambda h: datetime(2024, 1, 1, h)
+    rows = [("A", "B", "x", "old", 1.0, at(1)), ("A", "B", "x", None, None, at(3)), ("A", "B", "x", "new", None, at(2)),
+            ("A", "B", "x", "newer", 5.0, at(2)), ("A", "B", "y", None, None, at(1)), (None, "B", "x", "n", 1.0, at(1)),
+            ("A", "B", "z", "n", 1.0, None)]
+    best = spark.createDataFrame(
+        rows, "origin string, destination string, airline string, airline_name string, avg_price double, window_start timestamp")
+    assert rows_of(ql.latest_best(best), "airline", "airline_name", "avg_price", "window_start", "route") == [
+        ("x", "newer", 5.0, at(3), "A-B"), ("y", None, None, at(1), "A-B"), ("z", "n", None, None, "A-B")]

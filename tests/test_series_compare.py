@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import quotelane as ql
 from conftest import rows_of
+from quotelane.operators.ordering import numbered
 from quotelane.operators.compare import METRIC_COLUMNS
 
 BEST = "origin string, destination string, airline string, airline_name string, avg_price double, window_start timestamp, price_rank int"
@@ -130,3 +131,14 @@ def test_summary_leaves_out_unnamed_types(metrics):
 def test_speedup_over_no_time_is_unknown(metrics):
     idle = metrics.withColumn("streaming_execution_time", F.lit(0.0))
     assert rows_of(ql.comparison_summary(idle), "speedup") == [(None,)]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_row_numbers_over_all_partitions(spark, parts):
+    rows = [(k * 7919 % 500, None if k % 50 == 0 else f"n{k % 7}") for k in range(500)]
+    df = spark.createDataFrame(rows, "k int, name string").repartition(parts)
+    order = [F.asc_nulls_last("name"), F.desc("k")]
+    found = sorted(numbered(df, order).collect(), key=lambda r: r.row_number)
+    assert [r.row_number for r in found] == list(range(1, 501))
+    assert [(r.k, r.name) for r in found] == sorted(rows, key=lambda r: (r[1] is None, r[1] or "", -r[0]))
+    assert numbered(df.where("false"), order).collect() == []

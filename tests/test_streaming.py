@@ -12,6 +12,7 @@ from quotelane.schema import QUOTE, ROUTE, TABLES
 from quotelane.sinks.folders import FOLDER
 from quotelane.sinks.stores import ParquetStore
 from quotelane.streaming import runs
+from quotelane.streaming.cheapest import best_airline_stream
 
 START = datetime(2024, 1, 1)
 NOW = {"availableNow": True}
@@ -202,6 +203,34 @@ def test_a_failure_between_two_tables_repeats_only_the_rest(spark, feed, tmp_pat
     assert rows_of(report) == rows_of(expected(feed.all_quotes())["route_stats"])
 
 
+@pytest.mark.parametrize("slide", [None, "5 minutes"])
+def test_cheapest_airlines_as_a_stream(spark, feed, tmp_path, slide):
+    tied = [{**payloads([12])[0], "airline": airline, "price_usd": -1} for airline in "pqr"]
+    feed.add(payloads(range(0, 30, 4)) + tied)
+    feed.add(payloads(range(30, 60, 4)))
+    for late in (100, 101, 102):
+        feed.add(payloads([late]))
+    feed.add(payloads([5]))  # too late
+
+    def start():
+        best = best_airline_stream(feed.quotes(), "10 minutes", slide, "15 minutes")
+        writer = best.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        query = writer.option("checkpointLocation", str(tmp_path / "c")).trigger(**NOW).start()
+        query.awaitTermination()
+        return spark.read.schema(best.schema).parquet(str(tmp_path / "out")), query
+
+    start()
+    feed.add(payloads([200]))
+    found, query = start()
+    assert sum(o["numRowsTotal"] for o in query.recentProgress[-1]["stateOperators"]) < 60  # closed windows left
+    quotes = feed.all_quotes().where("NOT (minute(timestamp) = 5 AND hour(timestamp) = 0)")
+    best = ql.best_airline(quotes, "10 minutes", slide)
+    closed = F.col("window_end") <= F.lit(START + timedelta(minutes=185))
+    assert rows_of(found) == rows_of(best.where(closed).select(*found.columns))
+    routes = found.groupBy(*ROUTE, "window_start").count()
+    assert routes.where("count > 1").count() > 0  # ties
+
+
 def test_uneven_windows_are_refused_before_anything_is_stored(feed, store, tmp_path):
     feed.add(payloads([0]))
     with pytest.raises(ValueError):
