@@ -22,14 +22,16 @@ table gives an empty result.
 """
 
 import hashlib
+import json
 import os
 import re
-from collections.abc import Iterator
-from itertools import accumulate, count
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,12 +41,19 @@ from quotelane.session import materialize
 
 #: Distinct pairs per document, summed up, after which a block is closed.
 BLOCK_PAIRS = 1 << 18
-#: Characters that are encoded at a time (or one text).
-BATCH_CHARACTERS = 1 << 18
 HOT_PARTS = 10_000
 #: A pair of ids is one number: the first times this, plus the second.
 WIDTH = 1 << 24
 MARK = "▁"
+#: Fixed value: where byte-level tokenizers cut a text before merging.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_RUN = 500
+#: A space that follows no white space begins a part, but for one that ends the text: alone it
+#: would have no pieces.
+_PARTS = re.compile(r" .*?\S(?= (?!\Z))|.+", re.DOTALL)
+#: So many parts are remembered at a time, and as many from before; longer ones are not.
+REMEMBERED, REMEMBERED_CHARACTERS = 100_000, 100
+_LONG_SPACE = re.compile(r"\s{%d}" % LONG_RUN)
 #: Pairs per row of the table of pairs.
 _ROW_PAIRS = 4096
 
@@ -57,53 +66,101 @@ def _byte_characters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class Pair:
-    """A byte-level tokenizer (A) and a SentencePiece model (B)."""
+class ByteLevel:
+    """The byte-level tokenizer of a file.
 
-    def __init__(self, byte_file: str, piece_file: str):
+    Its merges rank as the ids of what they make, so the same file serves as the ranks of a
+    faster encoder, which gives the same ids. Texts with a run of ``LONG_RUN`` characters
+    without a place to cut go to the tokenizer itself, whose time does not grow with the square
+    of a run, and so do all texts if the file is of another kind.
+    """
+
+    def __init__(self, file: str):
         # Spark's tasks share the cores already; the library's own threads would only contend.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_file(byte_file)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
-        byte_of = _byte_characters()
-        vocabulary = self.a.get_vocab()
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        self.tokenizer = Tokenizer.from_file(file)
+        self.tokenizer.encode_special_tokens = True
+        with open(file, encoding="utf-8") as source:
+            config = json.load(source)
+        byte_of, added = _byte_characters(), {t["content"] for t in config["added_tokens"]}
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
-            if all(c in byte_of for c in token):
-                self.a_bytes[i] = bytes(byte_of[c] for c in token)
-        self.b_bytes = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
+            if token not in added and all(c in byte_of for c in token):
+                self.bytes[i] = bytes(byte_of[c] for c in token)
+        self.fast = None
+        if self._ranked(config):
+            ranks = {b: i for i, b in enumerate(self.bytes) if b}
+            self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _ranked(self, config: dict) -> bool:
+        model, before = config["model"], config["pre_tokenizer"] or {}
+        plain = (
+            model.get("type") == "BPE" and not config["normalizer"] and before.get("type") == "ByteLevel"
+            and before.get("use_regex") and not before.get("add_prefix_space")
+            and not any(model.get(k) for k in (
+                "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        )
+        if not plain or not {bytes([b]) for b in range(256)} <= set(self.bytes):
+            return False
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"][left + right] for left, right in merges]
+        return made == sorted(made)
+
+    def encode(self, text: str) -> list[int]:
+        long = len(text) >= LONG_RUN and (
+            max(map(len, text.split()), default=0) >= LONG_RUN or _LONG_SPACE.search(text))
+        if self.fast is None or long:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+
+class Pair:
+    """A byte-level tokenizer (A) and a SentencePiece model (B).
+
+    Texts are cut before spaces that follow no white space. A never has a token across such a
+    place, nor has B if none of its pieces holds its word mark after another character. So the
+    parts are encoded and aligned one by one, and remembered: words repeat. Where the model
+    allows no cuts, a text is one part.
+    """
+
+    def __init__(self, byte_file: str, piece_file: str):
+        self.a = ByteLevel(byte_file)
+        self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.a_bytes, self.b_bytes = self.a.bytes, [self._piece(name) for name in names]
         self.a_sizes, self.b_sizes = [len(b) for b in self.a_bytes], [len(b) for b in self.b_bytes]
-        self.a_names = [f"{i}|" for i in range(len(self.a_bytes))]
-        self.b_names = [str(i) for i in range(len(self.b_bytes))]
+        plain = all(self.b.normalize(t) == MARK + t.replace(" ", MARK) for t in ("  a  b ", "Ａ½", "é"))
+        crossed = any(re.search(f"[^{MARK}]{MARK}", name) for name in names)
+        self.cut = self.a.fast is not None and plain and not crossed
+        self.new: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
 
     @staticmethod
     def _piece(piece: str) -> bytes:
         code = re.fullmatch("<0x([0-9A-F]{2})>", piece)
         return bytes.fromhex(code[1]) if code else piece.replace(MARK, " ").encode()
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """The ids of each text by A and by B; none where they do not give its bytes."""
-        spaced = [" " + t for t in texts]
-        by_a = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        for text, a, ids_b in zip(spaced, by_a, self.b.encode(texts, num_threads=1)):
-            ids_a, whole = a.ids, text.encode()
-            if text == " " or b"".join([self.a_bytes[i] for i in ids_a]) != whole \
+    def encode(self, spaced: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        """The ids by A and by B of texts after a space; none if they do not give its bytes."""
+        for text, ids_b in zip(spaced, self.b.encode([t[1:] for t in spaced], num_threads=1)):
+            ids_a, whole = self.a.encode(text), text.encode()
+            if b"".join([self.a_bytes[i] for i in ids_a]) != whole \
                     or b"".join([self.b_bytes[i] for i in ids_b]) != whole:
                 yield [], []
             else:
                 yield ids_a, ids_b
 
-    def slices(self, ids_a: list[int], ids_b: list[int]) -> Iterator[tuple[int, int]]:
+    def slices(self, ids_a: list[int], ids_b: list[int]) -> list[tuple[int, int]]:
         """Where each group ends in both lists."""
-        ends_a = accumulate(map(self.a_sizes.__getitem__, ids_a))
-        ends_b = accumulate(map(self.b_sizes.__getitem__, ids_b))
-        at_a, at_b = dict(zip(ends_a, count(1))), dict(zip(ends_b, count(1)))
-        common = sorted(at_a.keys() & at_b.keys())
-        return zip(map(at_a.__getitem__, common), map(at_b.__getitem__, common))
+        at_a = dict(zip(accumulate(map(self.a_sizes.__getitem__, ids_a)), count(1)))
+        at_b = dict(zip(accumulate(map(self.b_sizes.__getitem__, ids_b)), count(1)))
+        return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
 
-    def links(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    def links(self, a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
         """The overlapping pairs of one slice."""
+        if len(a) == 1 or len(b) == 1:
+            return [(x, y) for x in a for y in b]
         found, i, j = [], 0, 0
         end_a, end_b = self.a_sizes[a[0]], self.b_sizes[b[0]]
         while True:
@@ -120,32 +177,48 @@ class Pair:
     def aligned(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[str], list[int]]:
         """The groups as text, and the links as numbers."""
         groups, links, i, j = [], [], 0, 0
-        a_names, b_names = self.a_names, self.b_names
         for k, m in self.slices(ids_a, ids_b):
-            a, b = ids_a[i], ids_b[j]
-            if k == i + 1 and m == j + 1:
-                groups.append(a_names[a] + b_names[b])
+            if k - i == m - j == 1:  # most slices are one token on each side
+                a, b = ids_a[i], ids_b[j]
+                groups.append(f"{a}|{b}")
                 links.append(a * WIDTH + b)
             else:
                 left, right = ids_a[i:k], ids_b[j:m]
                 groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                links.extend([a * WIDTH + b for a, b in self.links(left, right)])
+                links += [a * WIDTH + b for a, b in self.links(left, right)]
             i, j = k, m
         return groups, links
 
-
-def _batches(texts: list[str | None]) -> Iterator[list[str]]:
-    """Texts in their order, few enough characters at a time."""
-    batch, size = [], 0
-    for text in texts:
-        text = text or ""
-        if batch and size + len(text) > BATCH_CHARACTERS:
-            yield batch
-            batch, size = [], 0
-        batch.append(text)
-        size += len(text)
-    if batch:
-        yield batch
+    def learn(self, parts: set[str]) -> None:
+        """Remember parts: numbers of A's tokens, B's tokens and groups, the groups joined,
+        and the links."""
+        fresh = []
+        for part in parts:
+            if part in self.old:
+                self.new[part] = self.old[part]
+            else:
+                fresh.append(part)
+        for part, (ids_a, ids_b) in zip(fresh, self.encode(fresh)):
+            groups, links = self.aligned(ids_a, ids_b)
+            self.new[part] = len(ids_a), len(ids_b), len(groups), ";".join(groups), links
+
+    def document(self, text: str) -> tuple:
+        """What ``learn`` finds, for a whole text; zeros if its tokens do not give its bytes."""
+        if not text:
+            return 0, 0, 0, "", []
+        if len(self.new) >= REMEMBERED:
+            self.old, self.new = self.new, {}
+        parts = _PARTS.findall(" " + text) if self.cut else [" " + text]
+        new = self.new
+        if missing := {part for part in parts if part not in new}:
+            self.learn(missing)
+        a, b, n, groups, links = zip(*map(new.__getitem__, parts))
+        for part in missing:
+            if len(part) > REMEMBERED_CHARACTERS:
+                del new[part]
+        if not all(a):
+            return 0, 0, 0, "", []
+        return sum(a), sum(b), sum(n), ";".join(groups), list(chain.from_iterable(links))
 
 
 _BLOCKS = """block long, doc_id {id}, n_a long, n_b long, n_groups long, n_links long,
@@ -159,12 +232,11 @@ class _Block:
     def __init__(self, number: int):
         self.number, self.rows, self.size = number, [], 0
 
-    def add(self, doc_id, ids_a, ids_b, groups: list[str], links: list[int], keep: bool) -> None:
+    def add(self, doc_id, found: tuple, keep: bool) -> None:
+        *numbers, groups, links = found
         pairs, times = np.unique(np.array(links, np.int64), return_counts=True)
-        text = ";".join(groups)
-        digest = hashlib.sha256(text.encode()).hexdigest() if groups else ""
-        kept = text if keep else None
-        self.rows.append((doc_id, len(ids_a), len(ids_b), len(groups), len(links), digest, kept, pairs, times))
+        digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+        self.rows.append((doc_id, *numbers, len(links), digest, groups if keep else None, pairs, times))
         self.size += len(pairs)
 
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -197,15 +269,12 @@ def _blocks(docs: DataFrame, byte_file: str, piece_file: str, keep_groups: bool)
         block, schema = _Block(number), None
         for batch in batches:
             schema = schema or _arrow_schema(batch.schema.field("doc_id").type)
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            rows = iter(ids)
-            for some in _batches(texts.to_pylist()):
-                for ids_a, ids_b in pair.encode(some):
-                    block.add(next(rows), ids_a, ids_b, *pair.aligned(ids_a, ids_b), keep_groups)
-                    if block.size >= BLOCK_PAIRS:
-                        yield from block.batches(schema)
-                        number += 1
-                        block = _Block(number)
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                block.add(doc_id.as_py(), pair.document(text.as_py()), keep_groups)
+                if block.size >= BLOCK_PAIRS:
+                    yield from block.batches(schema)
+                    number += 1
+                    block = _Block(number)
         if block.rows:
             yield from block.batches(schema)
 

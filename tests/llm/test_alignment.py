@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -91,7 +93,7 @@ def test_query_equals_brute_force(spark):
 def test_blocks_and_shares_change_nothing(spark, monkeypatch, hot_parts):
     monkeypatch.setattr(alignment, "BLOCK_PAIRS", 7)
     monkeypatch.setattr(alignment, "_ROW_PAIRS", 2)
-    monkeypatch.setattr(alignment, "BATCH_CHARACTERS", 10)
+    monkeypatch.setattr(alignment, "REMEMBERED", 3)
     monkeypatch.setattr(alignment, "HOT_PARTS", hot_parts)
     rows = AWKWARD + [(100 + k, f"the same words and number {k}, the same") for k in range(30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -108,8 +110,36 @@ def test_groups_are_kept_on_request(spark):
         assert b"".join(pair.a_bytes[i] for i in left) == b"".join(pair.b_bytes[i] for i in right)
 
 
-def test_very_long_text():
-    pair = alignment.Pair(BYTES, PIECES)
-    (ids_a, ids_b), = pair.encode(["word " * 200_000 + "x" * 50_000])
-    groups, links = pair.aligned(ids_a, ids_b)
-    assert len(links) >= max(len(ids_a), len(ids_b)) and len(groups) > 200_000
+def test_the_fast_encoder_gives_the_ids_of_the_tokenizer():
+    rng, level = random.Random(2), alignment.ByteLevel(BYTES)
+    assert level.fast is not None
+    letters = [" ", "  ", "\n", "\t", "a", "b", "the", "Ab", "'s", "'LL", "1", "23", ".", "!?", "é", "ñ", "中", "🙂", "\u0301",
+               "\u00a0", "\u2003", "\u200b", "\x00", "\x85", "\u180e", "²", "Ⅷ", "٣", "<|endoftext|>", "▁", "\ufeff", "न"]
+    for _ in range(4000):
+        text = " " + "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
+        assert level.fast.encode_ordinary(text) == level.encode(text) == level.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000][::37]
+    for c in points:
+        text = f" a{c}b {c}{c} 1{c}2 .{c}. {c} '{c}  {c}\n"
+        assert level.fast.encode_ordinary(text) == level.tokenizer.encode(text, add_special_tokens=False).ids, hex(ord(c))
+
+
+@pytest.mark.parametrize("text", ["x" * 300_000, " " * 300_000, "ab" * 150_000, "word " * 200_000 + "x" * 50_000, "\n \t" * 100_000])
+def test_very_long_texts(text):
+    pair, started = alignment.Pair(BYTES, PIECES), time.monotonic()
+    n_a, n_b, n_groups, groups, links = pair.document(text)
+    assert n_a == len(pair.a.tokenizer.encode(" " + text, add_special_tokens=False).ids)
+    assert len(links) >= max(n_a, n_b) and groups.count(";") == n_groups - 1
+    assert time.monotonic() - started < 20
+
+
+def test_parts_give_what_whole_texts_give():
+    rng, pair = random.Random(6), alignment.Pair(BYTES, PIECES)
+    assert pair.cut
+    letters = [" ", " ", "  ", "\n", "\t", "a", "the", "Ab", "'s", "12", ".", "!?", "é", "中", "🙂", "\u00a0", "\u2003", "\x1c",
+               "\x85", "\u3000", "<0x41>", "</s>"]
+    for _ in range(4000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 40)))
+        (ids_a, ids_b), = pair.encode([" " + text])
+        groups, links = pair.aligned(ids_a, ids_b)
+        assert pair.document(text) == (len(ids_a), len(ids_b), len(groups), ";".join(groups), links), repr(text)
