@@ -171,8 +171,8 @@ def average_price() -> Column:
     fits = (last < 1 << 44) & (last > -(1 << 44))  # else the sum has no 38 digits
     exact = (total + last.cast("decimal(20,0)") * _power(4)).cast("double")
     cents = F.when(fits, exact).otherwise(total.cast("double") + last * 2.0 ** (4 * BITS))
-    (finest, finer, fine), _ = _carried(FINE)
-    left = (fine * 2.0**40 + (finer * 2.0**20 + finest)) * FINEST
+    (finest, finer, fine), many = _carried(FINE)
+    left = (fine * 2.0**40 + (finer * 2.0**20 + finest) + many * 2.0 ** (TOP_BITS + 3 * BITS)) * FINEST
     mean = ratio(cents + left * 100, 100.0 * priced) + ratio(F.col("sum_rest"), priced) * REST
     return mean.alias("avg_price")
 

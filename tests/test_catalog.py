@@ -2,6 +2,8 @@
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -46,5 +48,18 @@ def test_query_equals_its_sql(spark, database, name):
     assert ours
 
 
+def test_core_queries_stay_without_an_optional_package():
+    """A process in which a package that only the training-data operators need is missing."""
+    program = (
+        "import sys; sys.modules['xxhash'] = None; sys.modules['ahocorasick'] = None\n"
+        "import __spark_entry__ as c\n"
+        "from catalog.queries import QUERIES\n"
+        "assert set(QUERIES) <= set(c.queries()) and set(c.oracle_sql()) <= set(c.queries())\n"
+        "assert not any(name.startswith('op') for name in c.queries())\n"
+    )
+    folder = os.path.dirname(contract.__file__)
+    subprocess.run([sys.executable, "-c", program], cwd=folder, check=True, timeout=120)
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
