@@ -56,6 +56,8 @@ REMEMBERED, REMEMBERED_CHARACTERS = 100_000, 100
 _LONG_SPACE = re.compile(r"\s{%d}" % LONG_RUN)
 #: Pairs per row of the table of pairs.
 _ROW_PAIRS = 4096
+#: Documents whose new parts are learnt together.
+_LEARNT_TOGETHER = 256
 
 
 def _byte_characters() -> dict[str, int]:
@@ -130,6 +132,7 @@ class Pair:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.a_bytes, self.b_bytes = self.a.bytes, [self._piece(name) for name in names]
         self.a_sizes, self.b_sizes = [len(b) for b in self.a_bytes], [len(b) for b in self.b_bytes]
+        self.a_sizes_np, self.b_sizes_np = np.array(self.a_sizes, np.int64), np.array(self.b_sizes, np.int64)
         plain = all(self.b.normalize(t) == MARK + t.replace(" ", MARK) for t in ("  a  b ", "Ａ½", "é"))
         crossed = any(re.search(f"[^{MARK}]{MARK}", name) for name in names)
         self.cut = self.a.fast is not None and plain and not crossed
@@ -143,14 +146,32 @@ class Pair:
 
     def encode(self, spaced: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """The ids by A and by B of texts after a space; none if they do not give its bytes."""
-        for text, ids_b in zip(spaced, self.b.encode([t[1:] for t in spaced], num_threads=1)):
-            ids_a, whole = self.a.encode(text), text.encode()
+        if not spaced:
+            return
+        every_b = self.b.encode([t[1:] for t in spaced], num_threads=1)
+        every_a = [self.a.encode(text) for text in spaced]
+        wholes = [text.encode() for text in spaced]
+        whole = b"".join(wholes)
+        if b"".join(map(self.a_bytes.__getitem__, chain.from_iterable(every_a))) == whole \
+                == b"".join(map(self.b_bytes.__getitem__, chain.from_iterable(every_b))):
+            # all bytes agree; so does each part's if its tokens cover as many as it has
+            sizes = np.cumsum(np.fromiter(map(len, wholes), np.int64, len(wholes)))
+            if all(np.array_equal(np.cumsum(self._sizes_of(every, table))[np.cumsum(counts) - 1], sizes)
+                   for every, table, counts in ((every_a, self.a_sizes_np, list(map(len, every_a))),
+                                                (every_b, self.b_sizes_np, list(map(len, every_b))))):
+                yield from zip(every_a, every_b)
+                return
+        for text, ids_a, ids_b, whole in zip(spaced, every_a, every_b, wholes):
             if b"".join([self.a_bytes[i] for i in ids_a]) != whole \
                     or b"".join([self.b_bytes[i] for i in ids_b]) != whole:
                 yield [], []
             else:
                 yield ids_a, ids_b
 
+    @staticmethod
+    def _sizes_of(lists: list, table: np.ndarray) -> np.ndarray:
+        return table[np.fromiter(chain.from_iterable(lists), np.int64)]
+
     def slices(self, ids_a: list[int], ids_b: list[int]) -> list[tuple[int, int]]:
         """Where each group ends in both lists."""
         at_a = dict(zip(accumulate(map(self.a_sizes.__getitem__, ids_a)), count(1)))
@@ -198,27 +219,80 @@ class Pair:
                 self.new[part] = self.old[part]
             else:
                 fresh.append(part)
-        for part, (ids_a, ids_b) in zip(fresh, self.encode(fresh)):
+        found = list(self.encode(fresh))
+        sizes_a = self.a_sizes_np[np.fromiter(chain.from_iterable(a for a, _ in found), np.int64)]
+        sizes_b = self.b_sizes_np[np.fromiter(chain.from_iterable(b for _, b in found), np.int64)]
+        if sizes_a.all() and sizes_b.all():
+            self.new.update(zip(fresh, self._learned(found, sizes_a, sizes_b)))
+            return
+        for part, (ids_a, ids_b) in zip(fresh, found):  # a token without bytes
             groups, links = self.aligned(ids_a, ids_b)
             self.new[part] = len(ids_a), len(ids_b), len(groups), ";".join(groups), links
 
+    def _learned(self, found: list, sizes_a: np.ndarray, sizes_b: np.ndarray) -> Iterator[tuple]:
+        """What ``aligned`` gives, for many parts at once. Both lists of all parts end at
+        each part's end, so their common ends are the groups' ends of all parts, and every
+        end of either list ends one link: that of the two tokens over the byte before it."""
+        ids_a = np.fromiter(chain.from_iterable(a for a, _ in found), np.int64, len(sizes_a))
+        ids_b = np.fromiter(chain.from_iterable(b for _, b in found), np.int64, len(sizes_b))
+        ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        every = np.union1d(ends_a, ends_b)
+        links = ids_a[np.searchsorted(ends_a, every)] * WIDTH + ids_b[np.searchsorted(ends_b, every)]
+        # each token's group; a group's A tokens, then its B tokens, in order
+        last_a, last_b = np.searchsorted(ends_a, common), np.searchsorted(ends_b, common)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        before_b = np.concatenate([[0], last_b[:-1] + 1])
+        text = [""] * (2 * (len(ids_a) + len(ids_b)))
+        for at, ids, last, mark in ((2 * (np.arange(len(ids_a)) + before_b[group_a]), ids_a, last_a, "|"),
+                                    (2 * (np.arange(len(ids_b)) + last_a[group_b] + 1), ids_b, last_b, ";")):
+            separators = np.full(len(ids), ",", object)
+            separators[last] = mark
+            for k, value, sep in zip(at.tolist(), map(str, ids.tolist()), separators.tolist()):
+                text[k] = value
+                text[k + 1] = sep
+        n_a = np.fromiter((len(a) for a, _ in found), np.int64, len(found))
+        n_b = np.fromiter((len(b) for _, b in found), np.int64, len(found))
+        part_ends = np.zeros(len(found), np.int64)
+        part_ends[n_a > 0] = ends_a[np.cumsum(n_a)[n_a > 0] - 1]
+        groups_to = np.searchsorted(common, part_ends, "right")
+        links_to = np.searchsorted(every, part_ends, "right")
+        text_to = 2 * np.cumsum(n_a + n_b)
+        g = l = t = 0
+        for a, b, g_end, l_end, t_end in zip(n_a.tolist(), n_b.tolist(), groups_to.tolist(),
+                                             links_to.tolist(), text_to.tolist()):
+            if not a:
+                yield 0, 0, 0, "", []
+                continue
+            yield a, b, g_end - g, "".join(text[t : t_end - 1]), links[l:l_end].tolist()
+            g, l, t = g_end, l_end, t_end
+
     def document(self, text: str) -> tuple:
         """What ``learn`` finds, for a whole text; zeros if its tokens do not give its bytes."""
-        if not text:
-            return 0, 0, 0, "", []
+        return self.documents([text])[0]
+
+    def documents(self, texts: list) -> list[tuple]:
+        """``document`` of each text; the parts new to all of them are learnt together."""
         if len(self.new) >= REMEMBERED:
             self.old, self.new = self.new, {}
-        parts = _PARTS.findall(" " + text) if self.cut else [" " + text]
+        cut = [(_PARTS.findall(" " + text) if self.cut else [" " + text]) if text else () for text in texts]
         new = self.new
-        if missing := {part for part in parts if part not in new}:
+        if missing := {part for parts in cut for part in parts if part not in new}:
             self.learn(missing)
-        a, b, n, groups, links = zip(*map(new.__getitem__, parts))
+        found = []
+        for parts in cut:
+            if not parts:
+                found.append((0, 0, 0, "", []))
+                continue
+            a, b, n, groups, links = zip(*map(new.__getitem__, parts))
+            if not all(a):
+                found.append((0, 0, 0, "", []))
+            else:
+                found.append((sum(a), sum(b), sum(n), ";".join(groups), list(chain.from_iterable(links))))
         for part in missing:
             if len(part) > REMEMBERED_CHARACTERS:
                 del new[part]
-        if not all(a):
-            return 0, 0, 0, "", []
-        return sum(a), sum(b), sum(n), ";".join(groups), list(chain.from_iterable(links))
+        return found
 
 
 _BLOCKS = """block long, doc_id {id}, n_a long, n_b long, n_groups long, n_links long,
@@ -269,12 +343,15 @@ def _blocks(docs: DataFrame, byte_file: str, piece_file: str, keep_groups: bool)
         block, schema = _Block(number), None
         for batch in batches:
             schema = schema or _arrow_schema(batch.schema.field("doc_id").type)
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                block.add(doc_id.as_py(), pair.document(text.as_py()), keep_groups)
-                if block.size >= BLOCK_PAIRS:
-                    yield from block.batches(schema)
-                    number += 1
-                    block = _Block(number)
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for start in range(0, len(texts), _LEARNT_TOGETHER):
+                found = pair.documents(texts[start : start + _LEARNT_TOGETHER])
+                for doc_id, one in zip(ids[start : start + _LEARNT_TOGETHER], found):
+                    block.add(doc_id, one, keep_groups)
+                    if block.size >= BLOCK_PAIRS:
+                        yield from block.batches(schema)
+                        number += 1
+                        block = _Block(number)
         if block.rows:
             yield from block.batches(schema)
 

@@ -143,3 +143,12 @@ def test_parts_give_what_whole_texts_give():
         (ids_a, ids_b), = pair.encode([" " + text])
         groups, links = pair.aligned(ids_a, ids_b)
         assert pair.document(text) == (len(ids_a), len(ids_b), len(groups), ";".join(groups), links), repr(text)
+
+
+def test_documents_learnt_together_give_what_each_gives_alone():
+    rng = random.Random(7)
+    letters = [" ", "  ", "\n", "a", "the", "Ab", "12", ".", "é", "中", "🙂", " ", "▁", "</s>", "zqx"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(600)]
+    texts += [None, "", " ", "▁a", "a▁b c"] * 3
+    alone = alignment.Pair(BYTES, PIECES)
+    assert alignment.Pair(BYTES, PIECES).documents(texts) == [alone.document(text) for text in texts]
